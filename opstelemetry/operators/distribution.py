@@ -14,6 +14,7 @@ from opstelemetry.operators.filters import canonical_site, only, valid_values
 
 PERCENTILES = (10, 20, 30, 40, 50, 60, 70, 80, 90, 99)
 LEVELS = {"site": "SITE", "client": "NEW_BUS_ID", "device": "RECON_ID"}
+GROUP_LIMIT = 500_000
 _BANDS = 200.0
 
 
@@ -27,22 +28,52 @@ def _band_anchor(band: Column) -> Column:
 
 
 def distribution(
-    df: DataFrame, keys: Sequence[str], value: str, percentiles: Mapping[str, float]
+    df: DataFrame,
+    keys: Sequence[str],
+    value: str,
+    percentiles: Mapping[str, float],
+    group_limit: int = GROUP_LIMIT,
 ) -> DataFrame:
     """Mean, count, sample standard deviation, min, max and exact percentiles per key.
 
     ``percentiles`` maps output names to fractions; values between two ranks are interpolated
     linearly. Rows with a NULL key or value take no part.
 
-    No group is ever held in one task. Rows are first counted per (key, value), which spreads
-    a hot key over its values and combines repeats before the shuffle. The counts are summed
-    per value band, of which a key has a few thousand at most, to find the band holding each
-    rank; only inside those bands are values put in order.
+    Spark's ``percentile`` keeps the values of a group in memory, so it is used only after a
+    count shows that no group is larger than ``group_limit``. Otherwise groups are split by
+    value (``_split_distribution``). Both give the same numbers.
     """
     keys = list(keys)
     present = df.where(F.col(value).isNotNull())
     for k in keys:
         present = present.where(F.col(k).isNotNull())
+    sizes = present.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    largest = sizes.agg(F.max("n").alias("n")).first()["n"] or 0 if group_limit else 1
+    if largest > group_limit:
+        return _split_distribution(present, keys, value, percentiles)
+    v = F.col(value).cast("double")
+    fractions = F.array(*[F.lit(float(p)) for p in percentiles.values()])
+    stats = present.groupBy(*keys).agg(
+        F.mean(v).alias("mean"),
+        F.count(v).alias("count"),
+        F.stddev_samp(v).alias("std"),
+        F.min(v).alias("min"),
+        F.max(v).alias("max"),
+        *([F.percentile(v, fractions).alias("__p")] if percentiles else []),
+    )
+    return stats.withColumns({n: F.col("__p")[i] for i, n in enumerate(percentiles)}).drop("__p")
+
+
+def _split_distribution(
+    present: DataFrame, keys: list[str], value: str, percentiles: Mapping[str, float]
+) -> DataFrame:
+    """The same without ever holding a group in one task.
+
+    Rows are first counted per (key, value), which spreads a hot key over its values and
+    combines repeats before the shuffle. The counts are summed per value band, of which a key
+    has a few thousand at most, to find the band holding each rank; only inside those bands
+    are values put in order.
+    """
     counts = (
         present.groupBy(*keys, F.col(value).cast("double").alias("__v"))
         .agg(F.count(F.lit(1)).alias("__n"))
@@ -140,9 +171,11 @@ def metric_profile(
     keys: Sequence[str],
     value: str = "MEASURED_VALUE",
     percentiles: Sequence[int] = PERCENTILES,
+    group_limit: int = GROUP_LIMIT,
 ) -> DataFrame:
     """A3: mean, count, standard deviation and percentiles of the value per key."""
-    return distribution(df, keys, value, _percentile_columns(percentiles)).drop("min", "max")
+    columns = _percentile_columns(percentiles)
+    return distribution(df, keys, value, columns, group_limit).drop("min", "max")
 
 
 def at_levels(df: DataFrame, levels: Mapping[str, str] = LEVELS, value: str = "MEASURED_VALUE") -> DataFrame:

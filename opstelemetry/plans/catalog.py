@@ -28,13 +28,18 @@ Query = Callable[[SparkSession, str], DataFrame]
 EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
 # Spellings of the stand-in sites, one of them merged into another.
 SITE_SPELLINGS = {"NATION1": "NATION0", "NATION3": "NATION2"}
+SITES = tuple(f"NATION{i}" for i in range(25) if f"NATION{i}" not in SITE_SPELLINGS)
 HOUR = 3600
 SLOT = 4 * HOUR
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
+    """Doubles to few digits; the nudge makes exact halves round alike in all engines."""
     return df.select(
-        *[F.round(c, digits).alias(c) if kind == "double" else F.col(c) for c, kind in df.dtypes]
+        *[
+            F.round(F.col(c) + 1e-9, digits).alias(c) if kind == "double" else F.col(c)
+            for c, kind in df.dtypes
+        ]
     )
 
 
@@ -148,6 +153,11 @@ def metric_profile_lineitem(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(D.metric_profile(lines, ["l_returnflag", "l_suppkey"], "l_extendedprice"))
 
 
+def metric_profile_split(spark: SparkSession, sf: str) -> DataFrame:
+    lines = stand_in(spark, sf).table("lineitem")
+    return rounded(D.metric_profile(lines, ["l_returnflag"], "l_extendedprice", group_limit=0))
+
+
 def metric_profile_levels(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(D.metric_profiles(stand_in(spark, sf).enriched, spellings=SITE_SPELLINGS))
 
@@ -244,7 +254,7 @@ def single_metric_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 def full_feature_rows(spark: SparkSession, sf: str) -> DataFrame:
     week = X.neighbour_training_set(stand_in(spark, sf).mapping, spellings=SITE_SPELLINGS)
-    rows = X.clean_full(week)
+    rows = X.clean_full(week, SITES)
     return rows.withColumn("HAS_NEIGHBOR_INCIDENT", F.col("HAS_NEIGHBOR_INCIDENT").cast("int"))
 
 
@@ -495,7 +505,7 @@ def queries() -> dict[str, Query]:
         policy_alarm_filter, site_clean, incident_window, enrich_chain, top_client_or_join,
         event_incident_interval, event_incident_binned, event_incident_nearest, event_incident_flagged,
         matched_incidents, client_device_rank, customer_order_rank, top_talkers, metric_profile,
-        metric_profile_lineitem, metric_profile_levels, seasonal_profile, iqr_threshold,
+        metric_profile_lineitem, metric_profile_split, metric_profile_levels, seasonal_profile, iqr_threshold,
         iqr_threshold_floored, neighbour_label, neighbour_label_any, neighbour_training_set,
         hourly_features, hourly_spread, hourly_group_transform, first_reading, incident_coverage,
         metric_spread, sparse_filter, single_metric_rows, full_feature_rows, drop_null_columns,
