@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from opstelemetry.config import PROFILE_SITE_SPELLINGS, PROFILED_METRICS
+from opstelemetry.functions.scale import running_totals
 from opstelemetry.functions.scalar import hour_of, missing_as_null, weekday_of
 from opstelemetry.operators.filters import canonical_site, only, valid_values
 
@@ -16,6 +17,7 @@ PERCENTILES = (10, 20, 30, 40, 50, 60, 70, 80, 90, 99)
 LEVELS = {"site": "SITE", "client": "NEW_BUS_ID", "device": "RECON_ID"}
 GROUP_LIMIT = 500_000
 _BANDS = 200.0
+_PARTS = 1024
 
 
 def value_band(value: Column) -> Column:
@@ -23,10 +25,6 @@ def value_band(value: Column) -> Column:
     return F.floor(F.signum(value) * F.log1p(F.abs(value)) * F.lit(_BANDS))
 
 
-def _band_anchor(band: Column) -> Column:
-    return F.signum(band) * F.expm1(F.abs(band) / F.lit(_BANDS))
-
-
 def distribution(
     df: DataFrame,
     keys: Sequence[str],
@@ -51,17 +49,21 @@ def distribution(
     largest = sizes.agg(F.max("n").alias("n")).first()["n"] or 0 if group_limit else 1
     if largest > group_limit:
         return _split_distribution(present, keys, value, percentiles)
-    v = F.col(value).cast("double")
     fractions = F.array(*[F.lit(float(p)) for p in percentiles.values()])
-    stats = present.groupBy(*keys).agg(
+    exact = [F.percentile(F.col(value).cast("double"), fractions).alias("__p")] if percentiles else []
+    stats = present.groupBy(*keys).agg(*_moments(value), *exact)
+    return stats.withColumns({n: F.col("__p")[i] for i, n in enumerate(percentiles)}).drop("__p")
+
+
+def _moments(value: str) -> list[Column]:
+    v = F.col(value).cast("double")
+    return [
         F.mean(v).alias("mean"),
         F.count(v).alias("count"),
         F.stddev_samp(v).alias("std"),
         F.min(v).alias("min"),
         F.max(v).alias("max"),
-        *([F.percentile(v, fractions).alias("__p")] if percentiles else []),
-    )
-    return stats.withColumns({n: F.col("__p")[i] for i, n in enumerate(percentiles)}).drop("__p")
+    ]
 
 
 def _split_distribution(
@@ -69,51 +71,32 @@ def _split_distribution(
 ) -> DataFrame:
     """The same without ever holding a group in one task.
 
-    Rows are first counted per (key, value), which spreads a hot key over its values and
-    combines repeats before the shuffle. The counts are summed per value band, of which a key
-    has a few thousand at most, to find the band holding each rank; only inside those bands
-    are values put in order.
+    The moments combine on the map side. For the percentiles, rows are counted per
+    (key, value), which spreads a hot key over its values and combines repeats before the
+    shuffle. The counts are summed per value band, of which a key has a few thousand at most,
+    to find the band holding each rank. Only those bands are put in order, each in equal parts
+    between its least and greatest value, since values may crowd into one band.
     """
+    moments = present.groupBy(*keys).agg(*_moments(value))
+    if not percentiles:
+        return moments
     counts = (
         present.groupBy(*keys, F.col(value).cast("double").alias("__v"))
         .agg(F.count(F.lit(1)).alias("__n"))
         .withColumn("__band", value_band(F.col("__v")))
     )
-    off = F.col("__v") - _band_anchor(F.col("__band"))
-    bands = counts.groupBy(*keys, "__band").agg(
-        F.sum("__n").alias("__n"),
-        F.sum(F.col("__n") * off).alias("__s1"),
-        F.sum(F.col("__n") * off * off).alias("__s2"),
-        F.min("__v").alias("__min"),
-        F.max("__v").alias("__max"),
-    )
     whole = W.partitionBy(*keys)
     upto = whole.orderBy("__band").rowsBetween(W.unboundedPreceding, 0)
-    total = F.sum("__n").over(whole)
-    bands = bands.select(
-        *keys,
-        "__band",
-        "__n",
-        "__min",
-        "__max",
-        (_band_anchor(F.col("__band")) + F.col("__s1") / F.col("__n")).alias("__mean"),
-        (F.col("__s2") - F.col("__s1") * F.col("__s1") / F.col("__n")).alias("__m2"),
-        total.alias("__total"),
-        (F.sum("__n").over(upto) - F.col("__n")).alias("__before"),
-    ).withColumn("__mu", F.sum(F.col("__n") * F.col("__mean")).over(whole) / F.col("__total"))
-
-    squares = F.sum(F.col("__m2") + F.col("__n") * F.pow(F.col("__mean") - F.col("__mu"), 2))
-    n = F.first("__total")
-    moments = bands.groupBy(*keys).agg(
-        F.first("__mu").alias("mean"),
-        n.alias("count"),
-        F.when(n > 1, F.sqrt(F.greatest(squares, F.lit(0.0)) / (n - 1))).alias("std"),
-        F.min("__min").alias("min"),
-        F.max("__max").alias("max"),
+    bands = (
+        counts.groupBy(*keys, "__band")
+        .agg(F.sum("__n").alias("__n"), F.min("__v").alias("__low"), F.max("__v").alias("__high"))
+        .withColumns(
+            {
+                "__total": F.sum("__n").over(whole),
+                "__before": F.sum("__n").over(upto) - F.col("__n"),
+            }
+        )
     )
-    if not percentiles:
-        return moments
-
     fractions = F.array(*[F.lit(float(p)) for p in percentiles.values()])
     last_rank = F.col("__total") - 1
     ranks = F.array_distinct(
@@ -131,14 +114,21 @@ def _split_distribution(
         F.col("__band").alias("__kband"),
         "__before",
         "__total",
+        "__low",
+        "__high",
     )
     on = F.col("__band") == F.col("__kband")
     for i, k in enumerate(keys):
         on = on & (F.col(k) == F.col(f"__k{i}"))
-    inside = W.partitionBy(*keys, "__band").orderBy("__v").rowsBetween(W.unboundedPreceding, 0)
-    ranked = counts.join(needed, on, "inner").withColumn(
-        "__start", F.col("__before") + F.sum("__n").over(inside) - F.col("__n")
-    )
+    width = F.col("__high") - F.col("__low")
+    part = F.coalesce(F.floor(F.try_divide(F.col("__v") - F.col("__low"), width) * _PARTS), F.lit(0))
+    ranked = running_totals(
+        counts.join(needed, on, "inner"),
+        {"__upto": F.col("__n")},
+        order=[F.col("__v")],
+        bucket=part,
+        group=[*keys, "__band"],
+    ).withColumn("__start", F.col("__before") + F.col("__upto") - F.col("__n"))
     # At most two ranks per percentile and key are left to gather.
     at_rank = F.map_from_entries(F.collect_list(F.struct("__rank", "__v")))
     picked = (
