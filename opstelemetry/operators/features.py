@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from opstelemetry.config import SPARSE_FEATURES, TARGET_METRICS, TRAINING_SITE_SPELLINGS
 from opstelemetry.functions.scalar import hour_bucket, hour_of, missing_as_null, weekday_of
+from opstelemetry.functions.scale import settle
 from opstelemetry.operators.correlate import neighbour_label
 from opstelemetry.operators.filters import (
     all_null,
@@ -258,7 +259,16 @@ def class_ratio(df: DataFrame, label: str) -> DataFrame:
 def split(
     df: DataFrame, fraction: float = 0.67, seed: int = 7, keys: Sequence[str] | None = None
 ) -> tuple[DataFrame, DataFrame]:
-    """M5: repeatable train/test split by a hash of the row, or of ``keys``."""
-    columns = [F.col(c) for c in (keys or df.columns)]
-    draw = F.pmod(F.xxhash64(*columns, F.lit(seed)), F.lit(1_000_000)) / F.lit(1_000_000)
-    return df.where(draw < fraction), df.where(draw >= fraction)
+    """M5: random train/test split.
+
+    With ``keys`` the side of a row follows from a hash of them, the same in every run.
+    Without, each row draws its own side, so equal rows spread over both; the draw is written
+    once, and both sides read it back.
+    """
+    if keys:
+        hashed = F.xxhash64(*[F.col(c) for c in keys], F.lit(seed))
+        drawn = df.withColumn("__draw", F.pmod(hashed, F.lit(1_000_000)) / F.lit(1_000_000))
+    else:
+        drawn = settle(df.withColumn("__draw", F.rand(seed)))
+    train, test = F.col("__draw") < fraction, F.col("__draw") >= fraction
+    return drawn.where(train).drop("__draw"), drawn.where(test).drop("__draw")

@@ -98,10 +98,17 @@ def test_classes_and_split(spark):
     df = spark.range(3000).withColumn("label", (F.col("id") % 3 == 0))
     assert X.class_ratio(df, "label").first()["ratio"] == 2.0
     assert rows(X.class_counts(df, "label"), "label", "n") == [(False, 2000), (True, 1000)]
-    train, test = X.split(df, 0.67, seed=1)
-    again, _ = X.split(df.repartition(7), 0.67, seed=1)
+    train, test = X.split(df, 0.67, seed=1, keys=["id"])
+    again, _ = X.split(df.repartition(7), 0.67, seed=1, keys=["id"])
     assert rows(train, "id") == rows(again, "id")
-    assert train.count() + test.count() == 3000 and 0.62 < train.count() / 3000 < 0.72
+    for side, other in ((train, test), X.split(df.repartition(7), 0.67)):
+        assert rows(side.unionByName(other), "id") == rows(df, "id")
+        assert 0.62 < side.count() / 3000 < 0.72
+
+
+def test_split_spreads_equal_rows(spark):
+    train, test = X.split(spark.range(1000).select(F.lit(1).alias("x")), 0.5)
+    assert train.count() + test.count() == 1000 and 400 < train.count() < 600
 
 
 def test_first_per_key_and_transform(spark):
