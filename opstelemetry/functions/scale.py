@@ -51,17 +51,20 @@ def lookup_join(
     how: str = "left",
     null_safe: bool = False,
     broadcast_bytes: int = BROADCAST_BYTES,
+    dim_bytes: int | None = None,
 ) -> DataFrame:
     """Join a fact table to a lookup table on ``{fact column: lookup column}``.
 
     The lookup is broadcast only when its measured size is within ``broadcast_bytes``, so a
     hot key never moves. Beyond that it is a sort-merge join, in which adaptive execution
-    splits the partitions of hot fact keys. The lookup's key columns are not returned.
+    splits the partitions of hot fact keys. ``dim_bytes`` is an upper bound of the lookup's
+    size where the caller has measured one. The lookup's key columns are not returned.
     """
     key_of = {d: f"__key_{i}" for i, d in enumerate(on.values())}
     payload = [c for c in dim.columns if c not in key_of]
     side = dim.select(*[F.col(d).alias(k) for d, k in key_of.items()], *payload)
-    if measured_bytes(side) <= broadcast_bytes:
+    size = measured_bytes(side) if dim_bytes is None else dim_bytes
+    if size <= broadcast_bytes:
         side = F.broadcast(side)
     else:
         side = side.hint("merge")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from opstelemetry.functions.scalar import epoch_col
-from opstelemetry.functions.scale import BROADCAST_BYTES, lookup_join, settle
+from opstelemetry.functions.scale import BROADCAST_BYTES, lookup_join, measured_bytes, settle
 from opstelemetry.operators.filters import mapped, time_diff
 
 _INCIDENT_KEYS = ["RECON_ID_INC", "EVENT_CODE_INC"]
@@ -178,6 +178,8 @@ def neighbour_label(
             F.count_if(F.col("POLLER_TIME").isNull()).alias("undated"),
         )
     )
+    # Each slot becomes at most three rows of the first lookup, and one of the second.
+    size = {"broadcast_bytes": broadcast_bytes, "dim_bytes": 3 * measured_bytes(slots)}
     none = F.lit(None).cast("bigint")
     spread = F.array(
         F.struct(F.col("slot"), F.lit(True).alias("same"), none.alias("before"), none.alias("after")),
@@ -205,7 +207,7 @@ def neighbour_label(
         near,
         {**{k: f"__n_{k}" for k in keys}, "__slot": "__n_slot"},
         null_safe=True,
-        broadcast_bytes=broadcast_bytes,
+        **size,
     )
     t = F.col("POLLER_TIME")
     inside = F.coalesce(
@@ -214,9 +216,7 @@ def neighbour_label(
     added = ["__slot", "__same", "__before", "__after"]
     if label_mode == "any":
         return rows.withColumn("HAS_NEIGHBOR_INCIDENT", inside).drop(*added)
-    rows = lookup_join(
-        rows, extent, {k: f"__e_{k}" for k in keys}, null_safe=True, broadcast_bytes=broadcast_bytes
-    )
+    rows = lookup_join(rows, extent, {k: f"__e_{k}" for k in keys}, null_safe=True, **size)
     outside = F.coalesce(
         (t - F.col("__first") >= radius) | (F.col("__last") - t >= radius) | (F.col("__undated") > 0),
         F.lit(False),
