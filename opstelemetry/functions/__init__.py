@@ -10,7 +10,13 @@ from opstelemetry.functions.scalar import (
     try_num,
     weekday_of,
 )
-from opstelemetry.functions.scale import lookup_join, measured_bytes, running_totals, settle
+from opstelemetry.functions.scale import (
+    lookup_join,
+    measured_bytes,
+    running_totals,
+    settle,
+    with_slices,
+)
 
 __all__ = [
     "clean_site",
@@ -27,4 +33,5 @@ __all__ = [
     "to_ts",
     "try_num",
     "weekday_of",
+    "with_slices",
 ]

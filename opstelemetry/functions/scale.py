@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 from collections.abc import Mapping, Sequence
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -76,6 +77,18 @@ def lookup_join(
     return fact.join(side, condition, how).drop(*key_of.values())
 
 
+def with_slices(df: DataFrame, column: str, name: str, slices: int = 1024) -> DataFrame:
+    """Add a number that rises with a numeric column and has about equally many rows per value.
+
+    The borders are Spark's approximate quantiles, a bounded list whatever the data. Rows with
+    one and the same value share a slice; rows without a value are left out.
+    """
+    steps = [i / slices for i in range(1, slices)]
+    borders = sorted(set(df.approxQuantile(column, steps, 0.5 / slices)))
+    splits = [float("-inf"), *borders, float("inf")]
+    return Bucketizer(splits=splits, inputCol=column, outputCol=name, handleInvalid="skip").transform(df)
+
+
 def running_totals(
     df: DataFrame,
     totals: Mapping[str, Column],

@@ -13,7 +13,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opstelemetry.functions.scale import running_totals, scratch_root
+from opstelemetry.functions.scale import running_totals, scratch_root, settle, with_slices
 from opstelemetry.operators.features import class_ratio, split
 from opstelemetry.operators.filters import feature_names
 
@@ -159,20 +159,20 @@ def confusion_metrics(scored: DataFrame, positive: int = 1) -> DataFrame:
 def pr_curve(scored: DataFrame, positive: int = 1, score_column: str = "p_incident") -> DataFrame:
     """M9: precision and recall at every different score, from the highest down.
 
-    Scores are in [0, 1]. Rows are first counted per score, then accumulated over slices of
-    the score range, so the curve is not built in one task.
+    Rows are first counted per score. The scores are then accumulated over slices of about
+    equal length, so the curve is not built in one task however the scores crowd together.
     """
     hit = F.col("label") == positive
-    points = (
+    points = settle(
         scored.where(F.col(score_column).isNotNull())
         .groupBy(F.col(score_column).alias("threshold"))
         .agg(F.count_if(hit).alias("hits"), F.count(F.lit(1)).alias("rows"))
     )
     total = running_totals(
-        points,
+        with_slices(points, "threshold", "__slice"),
         {"tp": F.col("hits"), "predicted": F.col("rows")},
         order=[F.desc("threshold")],
-        bucket=F.floor((1 - F.col("threshold")) * 4096),
+        bucket=-F.col("__slice"),
     )
     return total.select(
         "threshold",

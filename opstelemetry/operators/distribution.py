@@ -35,14 +35,15 @@ def distribution(
     """Mean, count, sample standard deviation, min, max and exact percentiles per key.
 
     ``percentiles`` maps output names to fractions; values between two ranks are interpolated
-    linearly. Rows with a NULL key or value take no part.
+    linearly. Rows with a NULL key take no part, nor do NULL values; a key without any value
+    keeps its row, with a count of 0.
 
     Spark's ``percentile`` keeps the values of a group in memory, so it is used only after a
     count shows that no group is larger than ``group_limit``. Otherwise groups are split by
     value (``_split_distribution``). Both give the same numbers.
     """
     keys = list(keys)
-    present = df.where(F.col(value).isNotNull())
+    present = df
     for k in keys:
         present = present.where(F.col(k).isNotNull())
     sizes = present.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
@@ -81,7 +82,8 @@ def _split_distribution(
     if not percentiles:
         return moments
     counts = (
-        present.groupBy(*keys, F.col(value).cast("double").alias("__v"))
+        present.where(F.col(value).isNotNull())
+        .groupBy(*keys, F.col(value).cast("double").alias("__v"))
         .agg(F.count(F.lit(1)).alias("__n"))
         .withColumn("__band", value_band(F.col("__v")))
     )
@@ -149,7 +151,7 @@ def _split_distribution(
     same: Column = F.lit(True)
     for i, k in enumerate(keys):
         same = same & (F.col(k) == F.col(f"__k{i}"))
-    return moments.join(parts, same, "inner").drop(*[f"__k{i}" for i in range(len(keys))])
+    return moments.join(parts, same, "left").drop(*[f"__k{i}" for i in range(len(keys))])
 
 
 def _percentile_columns(percentiles: Sequence[int]) -> dict[str, float]:
@@ -218,11 +220,14 @@ def iqr_threshold(
 ) -> DataFrame:
     """Q3 + k·IQR over the hourly maxima of each (target, metric).
 
-    A target has at most 168 hours of the week, so its maxima are a small group. ``floor``
-    gives a least threshold per metric; without it none applies.
+    A target has at most 168 hours of the week, so its maxima are a small group. An hour
+    without a maximum leaves the threshold unknown. ``floor`` gives a least threshold per
+    metric; without it none applies.
     """
     quartiles = F.percentile("max", F.array(F.lit(0.25), F.lit(0.75)))
-    result = profile.groupBy("target_id", "metric_name").agg(quartiles.alias("q"))
+    result = profile.groupBy("target_id", "metric_name").agg(
+        F.when(F.count("max") == F.count(F.lit(1)), quartiles).alias("q")
+    )
     q1, q3 = F.col("q")[0], F.col("q")[1]
     threshold = q3 + F.lit(k) * (q3 - q1)
     for metric, least in (floor or {}).items():

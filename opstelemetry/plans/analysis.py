@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from opstelemetry.config import PROFILED_METRICS, SERIES_DEVICES
+from opstelemetry.functions.scale import settle
 from opstelemetry.operators.classify import (
     FULL_FEATURES,
     HOURLY,
@@ -114,7 +115,7 @@ def forecast_wide(
         steps = number_steps(part.drop("step", "n_steps"), group)
         return complete(forecast_windows(steps, group, lookback, horizons), horizons)
 
-    train, test = windows(past).persist(), windows(future).persist()
+    train, test = settle(windows(past)), settle(windows(future))
     model, metrics = select_forecaster(train, test, n_devices)
     return ForecastResult(model, metrics, forecast_recursive(model, test, horizons))
 

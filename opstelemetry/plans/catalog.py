@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from opstelemetry import schemas
 from opstelemetry.functions.scalar import fmt_time
-from opstelemetry.functions.scale import scratch_root
+from opstelemetry.functions.scale import scratch_root, settle
 from opstelemetry.operators import classify as C
 from opstelemetry.operators import clients as K
 from opstelemetry.operators import correlate as R
@@ -463,7 +463,7 @@ def typed_table(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _week(spark: SparkSession, sf: str) -> DataFrame:
-    return X.neighbour_training_set(stand_in(spark, sf).mapping, spellings=SITE_SPELLINGS).persist()
+    return settle(X.neighbour_training_set(stand_in(spark, sf).mapping, spellings=SITE_SPELLINGS))
 
 
 def _trees(config: C.ClassifierConfig, trees: int = 10) -> C.ClassifierConfig:
@@ -485,7 +485,7 @@ def gbt_single_metric(spark: SparkSession, sf: str) -> DataFrame:
 
 def gbt_hourly(spark: SparkSession, sf: str) -> DataFrame:
     s = stand_in(spark, sf)
-    _, scored = train_hourly(s.mapping.persist(), s.incidents, _trees(C.HOURLY))
+    _, scored = train_hourly(settle(s.mapping), s.incidents, _trees(C.HOURLY))
     return C.confusion_metrics(scored)
 
 

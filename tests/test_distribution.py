@@ -55,6 +55,18 @@ def test_group_of_one_and_null_key(spark):
         assert len(got) == 1 and got[0]["std"] is None and got[0]["percentile_99"] == 4.0
 
 
+def test_group_without_values(spark):
+    df = spark.createDataFrame([("a", 4.0), ("b", None)], "k string, MEASURED_VALUE double")
+    for limit in (0, 10):
+        got = rows(D.metric_profile(df, ["k"], group_limit=limit), "k", "count", "mean", "percentile_50")
+        assert got == [("a", 1, 4.0, 4.0), ("b", 0, None, None)]
+    series = spark.createDataFrame(
+        [(0, "t", "m", 1.0), (3600, "t", "m", None), (0, "u", "m", 2.0)],
+        "poller_time long, target_id string, metric_name string, measured_value double",
+    )
+    assert rows(D.iqr_threshold(D.seasonal_profile(series)), "target_id", "threshold") == [("t", None), ("u", 2.0)]
+
+
 def test_profiles_of_all_levels(spark):
     df = spark.createDataFrame(
         [("used", "d1", "c1", "MMSB400MinutemanRd", "10"), ("used", "d2", "c1", "MM400MinutemanRd", "20"),
