@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opstelemetry import schemas
-from opstelemetry.functions.scalar import fmt_time
+from opstelemetry.functions.scalar import fmt_time, hour_bucket, hour_of, weekday_of
+from opstelemetry.functions.scalar import push_window as push
 from opstelemetry.functions.scale import scratch_root, settle
 from opstelemetry.operators import classify as C
 from opstelemetry.operators import clients as K
@@ -308,8 +309,6 @@ def device_extract(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def time_parts(spark: SparkSession, sf: str) -> DataFrame:
-    from opstelemetry.functions.scalar import hour_bucket, hour_of, weekday_of
-
     return stand_in(spark, sf).events_raw.select(
         "event_id",
         fmt_time("t").alias("text"),
@@ -347,6 +346,15 @@ def forecast_windows(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(windows.select("shard", "window", F.size("x").alias("steps"), *past, *ahead), 4)
 
 
+def push_window(spark: SparkSession, sf: str) -> DataFrame:
+    windows = S.forecast_windows(_steps(spark, sf, HOUR), ["shard"])
+    pushed = windows.withColumn("next", push("x", "y_1"))
+    return rounded(pushed.select(
+        "shard", "window", F.size("next").alias("steps"),
+        F.col("next")[0][0].alias("oldest"), F.element_at("next", -1)[0].alias("newest"),
+    ))
+
+
 def chrono_split(spark: SparkSession, sf: str) -> DataFrame:
     train, test = S.chrono_split(_steps(spark, sf, HOUR), 0.99)
     return train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test"))).select(
@@ -459,6 +467,36 @@ def typed_table(spark: SparkSession, sf: str) -> DataFrame:
     return stamp(readers.read_table(spark, path))
 
 
+def series_files(spark: SparkSession, sf: str) -> DataFrame:
+    path = _folder(spark, "series")
+    rows = stand_in(spark, sf).series().select(F.lit("row").alias("DeviceID"), "*")
+    rows.write.mode("overwrite").csv(path)
+    return readers.read_series(spark, path)
+
+
+def header_series_files(spark: SparkSession, sf: str) -> DataFrame:
+    path = _folder(spark, "header_series")
+    writers.write_csv(stand_in(spark, sf).series().withColumn("unknown", F.lit("x")), path)
+    return readers.read_header_series(spark, path)
+
+
+def log_extract(spark: SparkSession, sf: str) -> DataFrame:
+    path = _folder(spark, "header_log")
+    writers.write_csv(stand_in(spark, sf).event_log, path)
+    return readers.extract_devices(spark, path, ["7", "8", "46", "149"])
+
+
+def metric_lookup(spark: SparkSession, sf: str) -> DataFrame:
+    return readers.metric_samples(stand_in(spark, sf).enriched, "utilization")
+
+
+def feature_files(spark: SparkSession, sf: str) -> DataFrame:
+    week = neighbour_training_set(spark, sf)
+    path = _folder(spark, "features")
+    writers.write_csv(week, path)
+    return readers.read_features(spark, path, week.schema)
+
+
 # -- learning ------------------------------------------------------------------------------
 
 
@@ -510,9 +548,10 @@ def queries() -> dict[str, Query]:
         hourly_features, hourly_spread, hourly_group_transform, first_reading, incident_coverage,
         metric_spread, sparse_filter, single_metric_rows, full_feature_rows, drop_null_columns,
         class_balance, class_ratio, site_one_hot, hash_split, device_extract, time_parts, series_pivot, lag_pairs,
-        forecast_windows, chrono_split, confusion_counts, confusion_metrics, pr_curve,
+        forecast_windows, push_window, chrono_split, confusion_counts, confusion_metrics, pr_curve,
         average_precision, tolerance_accuracy, best_model, csv_roundtrip, event_log_scan,
-        clustered_table, profile_files, typed_table, gbt_confusion, gbt_single_metric, gbt_hourly,
+        clustered_table, profile_files, typed_table, series_files, header_series_files, log_extract,
+        metric_lookup, feature_files, gbt_confusion, gbt_single_metric, gbt_hourly,
         importance, recursive_forecast,
     )
     return {q.__name__: q for q in listed}

@@ -437,5 +437,19 @@ def oracle_sql() -> dict[str, str]:
         "event_log_scan": _sql(_LOG, "SELECT * FROM event_log"),
         "clustered_table": _sql(_LOG, """SELECT metric_name, core_time, target_id FROM event_log
             WHERE policy_type = 'T' AND metric_name = 'utilization'"""),
+        "series_files": _sql(["ev"], """SELECT t AS poller_time, CAST(user_id AS VARCHAR) AS target_id,
+            value AS measured_value, event_type AS metric_name FROM ev"""),
+        "header_series_files": _sql(["ev"], """SELECT t AS poller_time, CAST(user_id AS VARCHAR) AS target_id,
+            value AS measured_value, event_type AS metric_name FROM ev"""),
+        "log_extract": _sql(_LOG, """SELECT poller_time, target_id, measured_value, metric_name
+            FROM event_log WHERE target_id IN ('7', '8', '46', '149')"""),
+        "metric_lookup": _sql(_ENRICHED, """SELECT RECON_ID, NEW_BUS_ID, SITE, MEASURED_VALUE
+            FROM enriched WHERE METRIC_NAME = 'utilization'"""),
+        "feature_files": _sql([*_NEIGHBOURS, "training"], "SELECT * FROM training"),
+        "push_window": _sql(["ev", "wide", "steps"], """SELECT * EXCLUDE (step, n_steps) FROM (
+            SELECT shard, step - 9 AS "window", 10 AS steps, step, n_steps,
+                   round(lag(v_0, 8) OVER w + 1e-9, 6) AS oldest, round(lead(v_0, 1) OVER w + 1e-9, 6) AS newest
+            FROM steps WINDOW w AS (PARTITION BY shard ORDER BY time))
+            WHERE step >= 9 AND step + 3 < n_steps"""),
         "typed_table": _sql(["ev", "incidents"], "SELECT * FROM incidents"),
     }
