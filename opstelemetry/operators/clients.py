@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opstelemetry.functions.scale import lookup_join, running_totals
+from opstelemetry.functions.scale import lookup_join, running_totals, settle
 from opstelemetry.operators.filters import between_open
 
 
@@ -38,6 +38,7 @@ def client_rank(counts: DataFrame) -> DataFrame:
     Clients with equal counts come in order of the MD5 of their id. The first digits of it cut
     a long run of equal counts into slices, so no task has to order all clients.
     """
+    counts = settle(counts)
     spread = F.md5(F.col("NEW_BUS_ID").cast("string"))
     slices = counts.withColumn("__spread", spread).withColumn("__slice", F.substring("__spread", 1, 3))
     order = [F.desc("RECONCILIATION_NUM"), F.col("__spread"), F.col("NEW_BUS_ID")]

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from opstelemetry.config import PROFILE_SITE_SPELLINGS, PROFILED_METRICS
-from opstelemetry.functions.scale import running_totals
+from opstelemetry.functions.scale import running_totals, settle
 from opstelemetry.functions.scalar import hour_of, missing_as_null, weekday_of
 from opstelemetry.operators.filters import canonical_site, only, valid_values
 
@@ -81,7 +81,7 @@ def _split_distribution(
     moments = present.groupBy(*keys).agg(*_moments(value))
     if not percentiles:
         return moments
-    counts = (
+    counts = settle(
         present.where(F.col(value).isNotNull())
         .groupBy(*keys, F.col(value).cast("double").alias("__v"))
         .agg(F.count(F.lit(1)).alias("__n"))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from opstelemetry.functions.scale import running_totals
+from opstelemetry.functions.scale import running_totals, settle
 
 BLOCK_STEPS = 4096
 
@@ -38,10 +38,11 @@ def number_steps(
     """Number the steps of each series from 0 (``step``) and add its length (``n_steps``).
 
     Times of one series must differ. Steps are counted inside chunks of time and the chunks'
-    counts are added up, so a long series is not sorted in one task.
+    counts are added up, so a long series is not sorted in one task. Both need the series, which
+    is therefore written once.
     """
     counted = running_totals(
-        series,
+        settle(series),
         {"__step": F.lit(1)},
         order=[F.col(time)],
         bucket=F.floor(F.col(time) / chunk),
