@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import tempfile
-from collections.abc import Mapping, Sequence
+import uuid
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,22 +15,54 @@ from pyspark.sql.window import Window as W
 
 BROADCAST_BYTES = 64 * 1024 * 1024
 _ROW_OVERHEAD = 16
+_written: list[str] = []
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder of the cluster; a local one only where none is configured."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
-    return root or tempfile.mkdtemp(prefix="opstelemetry-")
+    """The folder that driver and executors share, from ``spark.checkpoint.dir``.
+
+    A session on one machine may leave it unset and gets a temporary folder; on a cluster that
+    would be another disk for each executor, so there an unset folder is an error.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if root:
+        return root.rstrip("/")
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    root = tempfile.mkdtemp(prefix="opstelemetry-")
+    spark.conf.set("spark.checkpoint.dir", root)
+    return root
+
+
+def new_folder(spark: SparkSession, name: str = "table") -> str:
+    """A path in the shared folder that no other call gets; ``scratch`` removes it at the end of a run."""
+    path = f"{scratch_root(spark)}/opstelemetry/{name}-{uuid.uuid4().hex}"
+    _written.append(path)
+    return path
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """K7: write an intermediate to the checkpoint folder, so it is computed once and survives executors."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(scratch_root(df.sparkSession))
-    return df.checkpoint(eager=True)
+    """K7: write an intermediate to the shared folder as Parquet and read it back.
+
+    It is computed once, survives lost executors, and later reads take only the columns they need.
+    """
+    path = new_folder(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Remove at the end what was settled inside; results must have been written by then."""
+    before = len(_written)
+    try:
+        yield
+    finally:
+        jvm = spark.sparkContext._jvm
+        for path in _written[before:]:
+            target = jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+        del _written[before:]
 
 
 def measured_bytes(df: DataFrame) -> int:
