@@ -4,8 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+
+from opstelemetry.llm import decontam, mixing
+from opstelemetry.llm.decontam import contaminated
+from opstelemetry.llm.mixing import mixed
+from opstelemetry.llm.quality import judged
+from opstelemetry.llm.secrets import digest
+from opstelemetry.llm.simhash import near_duplicates
+from opstelemetry.llm.token_counts import token_counts
 
 TOKENIZER_FILE = "byte_bpe_50k.json"
 
@@ -15,22 +23,26 @@ def documents(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op3_token_counts(spark: SparkSession, sf: str) -> DataFrame:
-    import public_tokenizers
+    return token_counts(documents(spark, sf), public_tokenizers.path(TOKENIZER_FILE))
 
-    from opstelemetry.llm.token_counts import token_counts
 
-    return token_counts(documents(spark, sf), public_tokenizers.path(TOKENIZER_FILE))
+def op4_mixing_sources(spark: SparkSession, sf: str) -> DataFrame:
+    return mixed(documents(spark, sf)).select("doc_id", "size", "source_size", "target", "taken")
 
 
-def op8_simhash(spark: SparkSession, sf: str) -> DataFrame:
-    from opstelemetry.llm.simhash import near_duplicates
+def op7_benchmark_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    return contaminated(documents(spark, sf), spark.read.parquet(f"{sf}/benchmark.parquet"))
+
 
+def op8_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return near_duplicates(documents(spark, sf))
 
 
-def op10_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
-    from opstelemetry.llm.quality import judged
+def op9_secret_scans(spark: SparkSession, sf: str) -> DataFrame:
+    return digest(documents(spark, sf))
 
+
+def op10_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     columns = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
     return judged(documents(spark, sf)).select("doc_id", *columns, "base_failed", "kept", "failed_rule")
 
@@ -38,10 +50,13 @@ def op10_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_token_counts": op3_token_counts,
+        "op4_mixing_sources": op4_mixing_sources,
+        "op7_benchmark_decontamination": op7_benchmark_decontamination,
         "op8_simhash": op8_simhash,
+        "op9_secret_scans": op9_secret_scans,
         "op10_quality_rules": op10_quality_rules,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op4_mixing_sources": mixing.oracle_sql(), "op7_benchmark_decontamination": decontam.oracle_sql()}

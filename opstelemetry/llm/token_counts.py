@@ -24,7 +24,7 @@ from opstelemetry.llm.textbytes import blocks
 
 PIECE = re.compile(r"[ \t-\r]*[^ \t-\r]+|[ \t-\r]+")
 #: White space, to any definition, beyond the ASCII one that the pieces are cut at.
-UNCERTAIN = re.compile("[\x1c-\x1f\x85\xa0 ᠎ -​    ⁠　﻿]")
+UNCERTAIN = re.compile("[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200b\u2028\u2029\u202f\u205f\u2060\u3000\ufeff]")
 CALL_BYTES = 1 << 20
 MEMO_ENTRIES = 1 << 19
 MEMO_LENGTH = 48
