@@ -8,11 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from opstelemetry.llm import decontam, mixing
+from opstelemetry.llm.chat import events_of, formatted, tool_table
 from opstelemetry.llm.decontam import contaminated
+from opstelemetry.llm.licenses import scanned
 from opstelemetry.llm.mixing import mixed
 from opstelemetry.llm.quality import judged
+from opstelemetry.llm.repeats import without_repeats
 from opstelemetry.llm.secrets import digest
 from opstelemetry.llm.simhash import near_duplicates
+from opstelemetry.llm.suffix_tree import scored
 from opstelemetry.llm.token_counts import token_counts
 
 TOKENIZER_FILE = "byte_bpe_50k.json"
@@ -22,6 +26,14 @@ def documents(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/documents.parquet")
 
 
+def op1_chat_formatting(spark: SparkSession, sf: str) -> DataFrame:
+    return formatted(events_of(spark.read.parquet(f"{sf}/conversations.parquet")), tool_table(spark))
+
+
+def op2_suffix_tree_scores(spark: SparkSession, sf: str) -> DataFrame:
+    return scored(documents(spark, sf))
+
+
 def op3_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return token_counts(documents(spark, sf), public_tokenizers.path(TOKENIZER_FILE))
 
@@ -30,6 +42,14 @@ def op4_mixing_sources(spark: SparkSession, sf: str) -> DataFrame:
     return mixed(documents(spark, sf)).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_license_scans(spark: SparkSession, sf: str) -> DataFrame:
+    return scanned(documents(spark, sf)).drop("spans")
+
+
+def op6_repeated_strings(spark: SparkSession, sf: str) -> DataFrame:
+    return without_repeats(documents(spark, sf)).drop("spans")
+
+
 def op7_benchmark_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     return contaminated(documents(spark, sf), spark.read.parquet(f"{sf}/benchmark.parquet"))
 
@@ -49,8 +69,12 @@ def op10_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_chat_formatting": op1_chat_formatting,
+        "op2_suffix_tree_scores": op2_suffix_tree_scores,
         "op3_token_counts": op3_token_counts,
         "op4_mixing_sources": op4_mixing_sources,
+        "op5_license_scans": op5_license_scans,
+        "op6_repeated_strings": op6_repeated_strings,
         "op7_benchmark_decontamination": op7_benchmark_decontamination,
         "op8_simhash": op8_simhash,
         "op9_secret_scans": op9_secret_scans,
