@@ -10,8 +10,11 @@ round would be many times the input, so the first rounds see sampled positions o
 * Round 1 sorts picks by the name of their core. If it is unique, so are all windows of the cell.
 * Round 2 sorts the rest by core and the name of the whole cell (``length`` bytes and more). Cells with
   an equal are repeats throughout.
-* Round 3 sorts, of the distinct cells left under one core, each window by the name of its ``length``
-  bytes: cells that reach over the end of a repeat are decided byte by byte.
+* Round 3 cuts the distinct cells left under one core into pieces of ``PIECE`` windows, at fixed distances
+  from the pick. A piece whose inner string, which all its windows share, is unique has no repeat; one
+  whose outer string, which covers all of them, has an equal is a repeat throughout.
+* Round 4 sorts the windows of the pieces in doubt, at the very ends of a repeat, by the name of their
+  ``length`` bytes.
 
 Names are 64-bit polynomial fingerprints, equal for equal strings; ranks from a sort would be as many
 and need a look-up for every offset. Rows are spans, never texts; a name's copies are counted by
@@ -28,25 +31,26 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from opstelemetry.functions.scale import settle
 from opstelemetry.llm import textbytes as B
+from opstelemetry.llm.rounds import finished
 
 LENGTH = 200
-CORE = 48
+CORE = 32
+PIECE = 16
 #: Bytes of a text that are looked at together; cells end there, which round 3 makes good.
 STRIDE = 1 << 21
 _PLACE = np.uint64((1 << 24) - 1)
-_PICKS = "__a bigint, __b bigint, first bigint, last bigint, core bigint, cell bigint"
+_PICKS = "__a bigint, __b int, first bigint, last bigint, pick bigint, core bigint, cell bigint"
 
 
 def _keyed(docs: DataFrame, key: str) -> DataFrame:
     """(id, text, two hashes that stand for the row in joins); equal rows share them."""
     text = F.coalesce("text", F.lit(""))
     return docs.select(
-        F.col(key).alias("__key"), text.alias("text"), F.xxhash64(text, key).alias("__a"), F.xxhash64(F.lit(1), key, text).alias("__b")
+        F.col(key).alias("__key"), text.alias("text"), F.xxhash64(text, key).alias("__a"), F.hash(key, text).alias("__b")
     )
 
 
@@ -93,70 +97,113 @@ def _cells(length: int):
                     first, last, at = _picks(part, prefix, length)
                     core = B.span_hash(prefix, at, at + CORE)
                     cell = B.span_hash(prefix, first, last + length)
-                    found.append(np.stack([first + start, last + start, core.view(np.int64), cell.view(np.int64)]))
+                    found.append(np.stack([first + start, last + start, at + start, core.view(np.int64), cell.view(np.int64)]))
                     row.append(np.full(len(first), i))
             rows = np.concatenate(row) if row else np.zeros(0, np.int64)
-            values = np.concatenate(found, axis=1) if found else np.zeros((4, 0), np.int64)
+            values = np.concatenate(found, axis=1) if found else np.zeros((5, 0), np.int64)
             ids = pa.array(rows, pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(1).take(ids), batch.column(2).take(ids), *(pa.array(v, pa.int64()) for v in values)],
-                ["__a", "__b", "first", "last", "core", "cell"],
+                ["__a", "__b", "first", "last", "pick", "core", "cell"],
             )
 
     return cells
 
 
-def _windows(length: int):
-    """Names of the windows of the given cells; ``open`` where the cell itself has no equal."""
+def _pieces(length: int):
+    """Pieces of the given cells, with the names of their inner and outer strings and of their windows.
 
-    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    The outer name is null for a piece that the cell or the text cuts off; ``open`` tells that the cell
+    has no equal.
+    """
+    names = pa.list_(pa.int64())
+
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, data in _texts(batch.column(0)):
-                out = []
+                rows, windows = [], []
                 for start, stop in _stretches(len(data), length):
                     prefix = B.prefix_hash(data[start:stop])
                     for cell in batch.column(3)[i].as_py():
-                        if start <= cell["first"] < start + STRIDE:
-                            at = np.arange(cell["first"], cell["last"] + 1)
-                            name = B.span_hash(prefix, at - start, at - start + length).view(np.int64)
-                            out.append(np.stack([at, name, np.full(len(at), cell["open"], np.int64)]))
-                if out:
-                    at, name, free = np.concatenate(out, axis=1)
-                    ids = pa.array(np.full(len(at), i), pa.int64())
+                        if not start <= cell["first"] < start + STRIDE:
+                            continue
+                        first, last, pick = (cell[c] - start for c in ("first", "last", "pick"))
+                        own = B.span_hash(prefix, np.arange(first, last + 1), np.arange(first, last + 1) + length).view(np.int64)
+                        # piece k holds the windows from pick - 16 k - 15 to pick - 16 k
+                        k = np.arange((pick - last) // PIECE, (pick - first) // PIECE + 1)
+                        high = pick - PIECE * k
+                        low = high - PIECE + 1
+                        inner = B.span_hash(prefix, np.maximum(high, 0), np.minimum(low + length, stop - start)).view(np.int64)
+                        whole = (low >= first) & (high <= last)
+                        full = np.zeros(len(k), np.int64)
+                        full[whole] = B.span_hash(prefix, low[whole], high[whole] + length).view(np.int64)
+                        low, high = np.maximum(low, first), np.minimum(high, last)
+                        rows.append(np.stack([low + start, high + start, inner, full, whole.astype(np.int64), np.full(len(k), cell["open"], np.int64)]))
+                        windows += [own[a : b + 1] for a, b in zip(low - first, high - first, strict=True)]
+                if rows:
+                    low, high, inner, full, whole, free = np.concatenate(rows, axis=1)
+                    ids = pa.array(np.full(len(low), i), pa.int64())
                     yield pa.RecordBatch.from_arrays(
-                        [batch.column(1).take(ids), batch.column(2).take(ids), pa.array(at), pa.array(name), pa.array(free != 0)],
-                        ["__a", "__b", "first", "name", "open"],
+                        [
+                            batch.column(1).take(ids),
+                            batch.column(2).take(ids),
+                            pa.array(low),
+                            pa.array(high),
+                            pa.array(inner),
+                            pa.array(full, mask=whole == 0),
+                            pa.array(free != 0),
+                            pa.array(windows, names),
+                        ],
+                        ["__a", "__b", "first", "last", "inner", "outer", "open", "windows"],
                     )
 
-    return windows
+    return pieces
+
+
+def _place() -> Column:
+    return F.xxhash64("__a", "__b", "first")
+
+
+def _met(rows: DataFrame, name: str) -> DataFrame:
+    """Names that stand at two places or more; equal rows of ``docs`` name one place several times."""
+    found = rows.where(F.col(name).isNotNull()).groupBy(name).agg(F.min(_place()).alias("low"), F.max(_place()).alias("high"))
+    return found.where("low != high").select(name, "low")
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH, key: str = "doc_id") -> DataFrame:
     """(__a, __b, first, stop): overlapping stretches that cover all repeated bytes, of rows by ``_keyed``."""
-    if length < CORE:
-        raise ValueError(f"length must be at least {CORE}")
+    if length < 2 * CORE:
+        raise ValueError(f"length must be at least {2 * CORE}")
     rows = _keyed(docs, key)
     picks = rows.select("text", "__a", "__b").mapInArrow(_cells(length), _PICKS)
     known = picks.groupBy("core").agg(F.count("*").alias("n")).where("n > 1").select("core")
-    left = settle(picks.join(known, "core"))
-    cells = left.groupBy("core", "cell").agg(
-        F.count("*").alias("n"), F.min(F.struct("__a", "__b", "first", "last")).alias("one")
+    left = finished(picks.join(known, "core"))
+    cells = finished(
+        left.groupBy("core", "cell").agg(
+            F.count("*").alias("n"), F.min(F.struct("__a", "__b", "first", "last", "pick")).alias("one")
+        )
     )
-    cells = settle(cells)
     twice = cells.where("n > 1").select("core", "cell")
     whole = left.join(twice, ["core", "cell"]).select("__a", "__b", "first", (F.col("last") + length).alias("stop"))
     mixed = cells.groupBy("core").agg(F.count("*").alias("m")).where("m > 1").select("core")
     rest = cells.join(mixed, "core").select("one.*", (F.col("n") == 1).alias("open"))
-    wanted = rest.groupBy("__a", "__b").agg(F.collect_list(F.struct("first", "last", "open")).alias("cells"))
+    wanted = rest.groupBy("__a", "__b").agg(F.collect_list(F.struct("first", "last", "pick", "open")).alias("cells"))
     texts = rows.select("__a", "__b", "text").join(wanted, ["__a", "__b"])
-    named = texts.select("text", "__a", "__b", "cells").mapInArrow(
-        _windows(length), "__a bigint, __b bigint, first bigint, name bigint, open boolean"
+    pieces = finished(
+        texts.select("text", "__a", "__b", "cells").mapInArrow(
+            _pieces(length),
+            "__a bigint, __b int, first bigint, last bigint, inner bigint, outer bigint, open boolean, windows array<bigint>",
+        )
     )
-    named = settle(named)
-    place = F.struct("__a", "__b", "first")  # equal rows name one place several times
-    met = named.groupBy("name").agg(F.min(place).alias("low"), F.max(place).alias("high")).where("low != high").select("name")
-    part = named.where("open").join(met, "name").select("__a", "__b", "first", (F.col("first") + length).alias("stop"))
-    return whole.unionByName(part)
+    doubt = pieces.join(_met(pieces, "inner").drop("low"), "inner")
+    doubt = finished(doubt.join(_met(pieces, "outer"), "outer", "left").drop("inner", "outer"))
+    piece = doubt.where("low is not null and open").select("__a", "__b", "first", (F.col("last") + length).alias("stop"))
+    # of equal whole pieces one stands for all beside those in doubt
+    single = doubt.where((F.col("low").isNull()) | (F.col("low") == _place())).select("__a", "__b", "open", F.posexplode("windows").alias("at", "name"), "first")
+    single = single.select("__a", "__b", "open", (F.col("first") + F.col("at")).alias("first"), "name")
+    window = single.where("open").join(_met(single, "name").drop("low"), "name")
+    window = window.select("__a", "__b", "first", (F.col("first") + length).alias("stop"))
+    return finished(whole.unionByName(piece).unionByName(window))
 
 
 def _merged(spans: list[dict]) -> list[tuple[int, int]]:
