@@ -37,6 +37,7 @@ from pyspark.sql.window import Window as W
 
 from opstelemetry.functions.scale import settle
 from opstelemetry.llm import textbytes as B
+from opstelemetry.llm.rounds import finished
 
 DEPTH = 5
 END = 10
@@ -109,7 +110,7 @@ def _counted(held: list[np.ndarray]) -> pa.RecordBatch:
 def counts(training: DataFrame, depth: int = DEPTH) -> DataFrame:
     """(gram, n): the bytes of a context and its next byte in one number, over all training texts."""
     rows = training.select("text").mapInArrow(_grams(depth), "gram bigint, n bigint")
-    return settle(rows.groupBy("gram").agg(F.sum("n").alias("n")))
+    return finished(rows.groupBy("gram").agg(F.sum("n").alias("n")))
 
 
 def by_context(grams: DataFrame, depth: int) -> DataFrame:
@@ -120,8 +121,8 @@ def by_context(grams: DataFrame, depth: int) -> DataFrame:
     return spread.groupBy("size", context.alias("context"), F.col("gram").bitwiseAND(255).alias("symbol")).agg(F.sum("n").alias("n"))
 
 
-def kept_contexts(table: DataFrame, least: int, gain: float) -> DataFrame:
-    """(size, context, symbol, n) of the contexts that pass the divergence test against their suffix."""
+def tested_contexts(table: DataFrame, least: int) -> DataFrame:
+    """(size, context, total, gained, seen): likelihood gain over the suffix, and the byte values seen."""
     totals = table.groupBy("size", "context").agg(F.sum("n").alias("total")).where(F.col("total") >= least)
     rows = table.join(totals, ["size", "context"])
     suffix = rows.select(
@@ -129,33 +130,26 @@ def kept_contexts(table: DataFrame, least: int, gain: float) -> DataFrame:
     )
     cut = rows.where("size > 0").withColumn("suffix", F.expr("context & (shiftleft(1L, 8 * (size - 1)) - 1)"))
     share = F.log((F.col("n") / F.col("total")) / (F.col("sn") / F.col("st")))
-    tested = (
+    return (
         cut.join(suffix, ["size", "suffix", "symbol"])
-        .groupBy("size", "context")
+        .groupBy("size", "context", "total")
         .agg(F.sum(F.col("n") * share).alias("gained"), F.count("*").alias("seen"))
-        .where(F.col("gained") > gain * F.col("seen"))
     )
-    return rows.join(tested.select("size", "context"), ["size", "context"]).select("size", "context", "symbol", "n")
 
 
 class Tree:
     """States, their transitions and the log10 probabilities of each next byte, as arrays."""
 
-    def __init__(self, root: dict[int, int], size: np.ndarray, context: np.ndarray, symbol: np.ndarray, n: np.ndarray, depth: int, prior: float):
+    def __init__(self, root: dict[int, int], kept: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]], depth: int, prior: float):
+        """``root`` counts byte values; ``kept`` has the byte values and counts of each (size, context)."""
         seen = sorted(root)
         width = len(seen) + 1  # the last column is any byte value that was never seen
         self.column = np.full(256, len(seen), np.int64)
         self.column[seen] = np.arange(len(seen))
-        kept = set(zip(size.tolist(), context.tolist(), strict=True))
-        states = {(0, 0)} | {(s - cut, c >> (8 * cut)) for s, c in kept for cut in range(s)}
-        order = sorted(states)
+        order = sorted({(0, 0)} | {(s - cut, c >> (8 * cut)) for s, c in kept for cut in range(s)})
         at = {state: i for i, state in enumerate(order)}
-        counts = np.zeros((len(order), width))
-        if len(size):
-            own = np.fromiter((at[x] for x in zip(size.tolist(), context.tolist(), strict=True)), np.int64, len(size))
-            counts[own, self.column[symbol]] = n
         move = np.zeros((len(order), width), np.int32)
-        share = np.zeros((len(order), width))
+        share = np.zeros((len(order), width), np.float32)
         total = sum(root.values()) + 256
         share[0, :-1] = [(root[s] + 1) / total for s in seen]
         share[0, -1] = 1 / total
@@ -166,12 +160,15 @@ class Tree:
             if i:
                 parent = next(at[x] for k in range(length - 1, -1, -1) if (x := (k, code & ((1 << (8 * k)) - 1))) in at)
                 move[i] = move[parent]
-                own = (length, code) in kept
-                share[i] = (counts[i] + prior * share[parent]) / (counts[i].sum() + prior) if own else share[parent]
+                share[i] = share[parent]
+                if own := kept.get((length, code)):
+                    symbols, n = own
+                    share[i] *= prior / (n.sum() + prior)
+                    share[i, self.column[symbols]] += (n / (n.sum() + prior)).astype(np.float32)
             # where the state is itself lengthened by the next byte, that is where the byte leads
             for state in longer.get(i, ()):
                 move[i, self.column[state[1] & 255]] = at[state]
-        self.log, self.move, self.depth = np.log10(share).astype(np.float32), move, depth
+        self.log, self.move, self.depth = np.log10(share, out=share), move, depth
 
     def token_scores(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """log10 probability of every token of all texts in a row, and the number of each text's tokens.
@@ -205,18 +202,21 @@ class Tree:
         return sums, np.diff(np.searchsorted(stops, np.concatenate([starts, [len(data)]])))
 
 
-def learn(grams: DataFrame, depth: int = DEPTH, gain: float = 2.0, prior: float = 4.0, states: int = 1 << 16) -> Tree:
+def learn(grams: DataFrame, depth: int = DEPTH, gain: float = 2.0, prior: float = 4.0, states: int = 1 << 15) -> Tree:
     """Fit the tree. At most ``states`` contexts come to the driver, each with at most 256 counts."""
-    table = settle(by_context(grams, depth))
+    table = finished(by_context(grams, depth))
     root = {r["symbol"]: r["n"] for r in table.where("size = 0").collect()}
     least = max(2, sum(root.values()) >> 21)
-    while True:
-        kept = settle(kept_contexts(table, least, gain))
-        if kept.select("size", "context").distinct().count() <= states:
-            break
+    tested = finished(tested_contexts(table, least).where(F.col("gained") > gain * F.col("seen")))
+    while tested.where(F.col("total") >= least).count() > states:
         least *= 2
-    rows = kept.toPandas()
-    return Tree(root, rows["size"].to_numpy(), rows["context"].to_numpy(), rows["symbol"].to_numpy(), rows["n"].to_numpy(), depth, prior)
+    own = table.join(tested.where(F.col("total") >= least).select("size", "context"), ["size", "context"])
+    rows = own.groupBy("size", "context").agg(F.collect_list("symbol").alias("symbols"), F.collect_list("n").alias("counts")).toArrow()
+    kept = {}
+    for batch in rows.to_batches():
+        for size, context, symbols, n in zip(*(batch.column(i) for i in range(4)), strict=True):
+            kept[size.as_py(), context.as_py()] = (symbols.values.to_numpy(), n.values.to_numpy())
+    return Tree(root, kept, depth, prior)
 
 
 # -- scoring -------------------------------------------------------------------------------
