@@ -48,7 +48,20 @@ def settle(df: DataFrame) -> DataFrame:
     """
     path = new_folder(df.sparkSession)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._settled = path
+    return out
+
+
+def remove(settled: DataFrame) -> None:
+    """Remove the files of a table that ``settle`` returned; nothing may read it any more."""
+    _delete(settled.sparkSession, settled._settled)
+    _written.remove(settled._settled)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
 @contextmanager
@@ -58,10 +71,8 @@ def scratch(spark: SparkSession) -> Iterator[None]:
     try:
         yield
     finally:
-        jvm = spark.sparkContext._jvm
         for path in _written[before:]:
-            target = jvm.org.apache.hadoop.fs.Path(path)
-            target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+            _delete(spark, path)
         del _written[before:]
 
 
