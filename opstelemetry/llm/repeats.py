@@ -110,56 +110,89 @@ def _cells(length: int):
     return cells
 
 
+def _places(batch: pa.RecordBatch, length: int, fields: tuple[str, ...]):
+    """(row, start, prefix hash, the wanted fields) of every stretch of a text that has wanted places."""
+    lists = batch.column(3)
+    flat = lists.flatten()
+    values = [flat.field(f).to_numpy(zero_copy_only=False) for f in fields]
+    at = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])
+    for i, data in _texts(batch.column(0)):
+        own = [v[at[i] : at[i + 1]] for v in values]
+        for start, stop in _stretches(len(data), length):
+            inside = (own[0] >= start) & (own[0] < start + STRIDE)
+            if inside.any():
+                yield i, start, B.prefix_hash(data[start:stop]), [v[inside] for v in own]
+
+
+def _steps(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each of ``counts`` runs: the run's number and 0, 1, ... inside it."""
+    run = np.repeat(np.arange(len(counts)), counts)
+    return run, np.arange(len(run)) - np.repeat(np.cumsum(counts) - counts, counts)
+
+
 def _pieces(length: int):
-    """Pieces of the given cells, with the names of their inner and outer strings and of their windows.
+    """Pieces of the wanted cells, with the names of their inner and outer strings.
 
-    The outer name is null for a piece that the cell or the text cuts off; ``open`` tells that the cell
-    has no equal.
+    The outer name is null for a piece that the cell cuts off; ``open`` tells that the cell has no equal.
     """
-    names = pa.list_(pa.int64())
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, data in _texts(batch.column(0)):
-                rows, windows = [], []
-                for start, stop in _stretches(len(data), length):
-                    prefix = B.prefix_hash(data[start:stop])
-                    for cell in batch.column(3)[i].as_py():
-                        if not start <= cell["first"] < start + STRIDE:
-                            continue
-                        first, last, pick = (cell[c] - start for c in ("first", "last", "pick"))
-                        own = B.span_hash(prefix, np.arange(first, last + 1), np.arange(first, last + 1) + length).view(np.int64)
-                        # piece k holds the windows from pick - 16 k - 15 to pick - 16 k
-                        k = np.arange((pick - last) // PIECE, (pick - first) // PIECE + 1)
-                        high = pick - PIECE * k
-                        low = high - PIECE + 1
-                        inner = B.span_hash(prefix, np.maximum(high, 0), np.minimum(low + length, stop - start)).view(np.int64)
-                        whole = (low >= first) & (high <= last)
-                        full = np.zeros(len(k), np.int64)
-                        full[whole] = B.span_hash(prefix, low[whole], high[whole] + length).view(np.int64)
-                        low, high = np.maximum(low, first), np.minimum(high, last)
-                        rows.append(np.stack([low + start, high + start, inner, full, whole.astype(np.int64), np.full(len(k), cell["open"], np.int64)]))
-                        windows += [own[a : b + 1] for a, b in zip(low - first, high - first, strict=True)]
-                if rows:
-                    low, high, inner, full, whole, free = np.concatenate(rows, axis=1)
-                    ids = pa.array(np.full(len(low), i), pa.int64())
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            batch.column(1).take(ids),
-                            batch.column(2).take(ids),
-                            pa.array(low),
-                            pa.array(high),
-                            pa.array(inner),
-                            pa.array(full, mask=whole == 0),
-                            pa.array(free != 0),
-                            pa.array(windows, names),
-                        ],
-                        ["__a", "__b", "first", "last", "inner", "outer", "open", "windows"],
-                    )
+            row, out = [np.zeros(0, np.int64)], [np.zeros((6, 0), np.int64)]
+            for i, start, prefix, (first, last, pick, free) in _places(batch, length, ("first", "last", "pick", "open")):
+                first, last, pick = first - start, last - start, pick - start
+                # piece k holds the windows from pick - 16 k - 15 to pick - 16 k
+                low_k = (pick - last) // PIECE
+                cell, step = _steps((pick - first) // PIECE - low_k + 1)
+                high = pick[cell] - PIECE * (low_k[cell] + step)
+                low = high - PIECE + 1
+                inner = B.span_hash(prefix, high, low + length)
+                whole = (low >= first[cell]) & (high <= last[cell])
+                outer = np.zeros(len(low), np.int64)
+                outer[whole] = B.span_hash(prefix, low[whole], high[whole] + length).view(np.int64)
+                low, high = np.maximum(low, first[cell]), np.minimum(high, last[cell])
+                out.append(np.stack([low + start, high + start, inner.view(np.int64), outer, whole, free[cell]]))
+                row.append(np.full(len(low), i))
+            ids = pa.array(np.concatenate(row))
+            low, high, inner, outer, whole, free = np.concatenate(out, axis=1)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(1).take(ids),
+                    batch.column(2).take(ids),
+                    pa.array(low),
+                    pa.array(high),
+                    pa.array(inner),
+                    pa.array(outer, mask=whole == 0),
+                    pa.array(free != 0),
+                ],
+                ["__a", "__b", "first", "last", "inner", "outer", "open"],
+            )
 
     return pieces
 
 
+def _windows(length: int):
+    """Names of the windows of the wanted pieces."""
+
+    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            row, out = [np.zeros(0, np.int64)], [np.zeros((3, 0), np.int64)]
+            for i, start, prefix, (first, last, free) in _places(batch, length, ("first", "last", "open")):
+                piece, step = _steps(last - first + 1)
+                at = first[piece] + step
+                name = B.span_hash(prefix, at - start, at - start + length).view(np.int64)
+                out.append(np.stack([at, name, free[piece]]))
+                row.append(np.full(len(at), i))
+            ids = pa.array(np.concatenate(row))
+            at, name, free = np.concatenate(out, axis=1)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(1).take(ids), batch.column(2).take(ids), pa.array(at), pa.array(name), pa.array(free != 0)],
+                ["__a", "__b", "first", "name", "open"],
+            )
+
+    return windows
+
+
 def _place() -> Column:
     return F.xxhash64("__a", "__b", "first")
 
@@ -170,40 +203,43 @@ def _met(rows: DataFrame, name: str) -> DataFrame:
     return found.where("low != high").select(name, "low")
 
 
+def _looked_up(rows: DataFrame, wanted: DataFrame, fields: list[str]) -> DataFrame:
+    """(text, __a, __b, wanted): the texts that have wanted places, with the list of these."""
+    lists = wanted.groupBy("__a", "__b").agg(F.collect_list(F.struct(*fields)).alias("wanted"))
+    return rows.select("__a", "__b", "text").join(lists, ["__a", "__b"]).select("text", "__a", "__b", "wanted")
+
+
 def repeated_spans(docs: DataFrame, length: int = LENGTH, key: str = "doc_id") -> DataFrame:
     """(__a, __b, first, stop): overlapping stretches that cover all repeated bytes, of rows by ``_keyed``."""
     if length < 2 * CORE:
         raise ValueError(f"length must be at least {2 * CORE}")
     rows = _keyed(docs, key)
-    picks = rows.select("text", "__a", "__b").mapInArrow(_cells(length), _PICKS)
+    kinds = "__a bigint, __b int, first bigint"
+    picks = finished(rows.select("text", "__a", "__b").mapInArrow(_cells(length), _PICKS))
     known = picks.groupBy("core").agg(F.count("*").alias("n")).where("n > 1").select("core")
-    left = finished(picks.join(known, "core"))
-    cells = finished(
-        left.groupBy("core", "cell").agg(
-            F.count("*").alias("n"), F.min(F.struct("__a", "__b", "first", "last", "pick")).alias("one")
-        )
-    )
+    left = finished(picks.join(known, "core"), picks)
+
+    one = F.min(F.struct("__a", "__b", "first", "last", "pick")).alias("one")
+    cells = finished(left.groupBy("core", "cell").agg(F.count("*").alias("n"), one))
     twice = cells.where("n > 1").select("core", "cell")
     whole = left.join(twice, ["core", "cell"]).select("__a", "__b", "first", (F.col("last") + length).alias("stop"))
+    whole = finished(whole, left)
+
     mixed = cells.groupBy("core").agg(F.count("*").alias("m")).where("m > 1").select("core")
-    rest = cells.join(mixed, "core").select("one.*", (F.col("n") == 1).alias("open"))
-    wanted = rest.groupBy("__a", "__b").agg(F.collect_list(F.struct("first", "last", "pick", "open")).alias("cells"))
-    texts = rows.select("__a", "__b", "text").join(wanted, ["__a", "__b"])
-    pieces = finished(
-        texts.select("text", "__a", "__b", "cells").mapInArrow(
-            _pieces(length),
-            "__a bigint, __b int, first bigint, last bigint, inner bigint, outer bigint, open boolean, windows array<bigint>",
-        )
-    )
+    rest = cells.join(mixed, "core").select("one.*", (F.col("n") == 1).cast("bigint").alias("open"))
+    found = _looked_up(rows, rest, ["first", "last", "pick", "open"])
+    pieces = finished(found.mapInArrow(_pieces(length), f"{kinds}, last bigint, inner bigint, outer bigint, open boolean"), cells)
     doubt = pieces.join(_met(pieces, "inner").drop("low"), "inner")
-    doubt = finished(doubt.join(_met(pieces, "outer"), "outer", "left").drop("inner", "outer"))
+    doubt = finished(doubt.join(_met(pieces, "outer"), "outer", "left").drop("inner", "outer"), pieces)
     piece = doubt.where("low is not null and open").select("__a", "__b", "first", (F.col("last") + length).alias("stop"))
+
     # of equal whole pieces one stands for all beside those in doubt
-    single = doubt.where((F.col("low").isNull()) | (F.col("low") == _place())).select("__a", "__b", "open", F.posexplode("windows").alias("at", "name"), "first")
-    single = single.select("__a", "__b", "open", (F.col("first") + F.col("at")).alias("first"), "name")
+    rest = doubt.where(F.col("low").isNull() | (F.col("low") == _place())).withColumn("open", F.col("open").cast("bigint"))
+    found = _looked_up(rows, rest, ["first", "last", "open"])
+    single = finished(found.mapInArrow(_windows(length), f"{kinds}, name bigint, open boolean"))
     window = single.where("open").join(_met(single, "name").drop("low"), "name")
     window = window.select("__a", "__b", "first", (F.col("first") + length).alias("stop"))
-    return finished(whole.unionByName(piece).unionByName(window))
+    return finished(whole.unionByName(piece).unionByName(window), whole, doubt, single)
 
 
 def _merged(spans: list[dict]) -> list[tuple[int, int]]:
