@@ -41,7 +41,7 @@ from opstelemetry.llm.rounds import finished
 
 DEPTH = 5
 END = 10
-CHUNK_BYTES = 12 << 20
+CHUNK_BYTES = 8 << 20
 FOLDS, HELD_OUT = 7, 2
 _SEGMENT = 512
 _WORD = B.byte_class(" \n")
@@ -76,7 +76,7 @@ def _blocks_of(texts: pa.Array) -> Iterator[tuple[int, list[bytes]]]:
 # -- learning ------------------------------------------------------------------------------
 
 
-def _grams(depth: int, step: int = 8 << 20):
+def _grams(depth: int, step: int = 3 << 20):
     def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
         size = 0
