@@ -9,7 +9,7 @@ tokens and close to zero for words.
 How many words come near uniform depends on length, so tokens are counted by encoding, length class and
 p-value over the whole corpus (a table of bounded size). In each class the density above one half
 estimates the random tokens; the class's threshold is the least p-value above which at most ``rate`` of
-the tokens are not random by that estimate. A class too short to tell words from keys gets no threshold
+the tokens, give or take the standard error of their number, are not random by that estimate. A class too short to tell words from keys gets no threshold
 below one half.
 
 Spans count code points, end exclusive. Null and empty texts have none. Rows stay one to one. All is
@@ -184,7 +184,7 @@ def thresholds(docs: DataFrame, rate: float = 0.05) -> dict[int, float]:
         density = sum(own[BINS // 2 :]) / (BINS - BINS // 2)
         for low in range(BINS):
             above = sum(own[low:])
-            if above and 1 - density * (BINS - low) / above <= rate:
+            if above and above - density * (BINS - low) <= rate * above + above**0.5:
                 out[found] = low / BINS
                 break
     return out
