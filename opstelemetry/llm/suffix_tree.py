@@ -5,18 +5,22 @@ space after it, and an end byte. The tree predicts that byte by byte, so the byt
 the probability of that token. Contexts are suffixes of up to ``depth`` bytes, padded before a text's
 start.
 
-Learning. Tasks count all (depth + 1)-grams of the training texts, Spark sums them and derives the
-shorter contexts. A context is kept if it is frequent enough and its next-byte distribution diverges
-from that of its longest kept suffix: the likelihood gain count x KL exceeds ``gain`` for each byte
-value seen in it. Prefixes of kept contexts are kept as states, so that the longest kept suffix follows
-from the last state and the next byte alone. The least count rises until at most ``states`` contexts are
-left, which bounds what is broadcast.
+Learning. Chunks of texts count their distinct (depth + 1)-grams, Spark sums them and derives the shorter
+contexts. A context is kept if it was met ``LEAST`` times and its next-byte distribution diverges from
+that of its suffix: the likelihood gain count x KL exceeds ``gain`` for each byte value seen in it. Every
+context that passes is kept, however many there are.
 
 Smoothing. A context's distribution is its counts plus ``prior`` times its suffix's distribution; at the
 root every byte value counts once more. The
 probabilities of all token sequences add up to one. Smoothing whole tokens with their counts as well was
 tried; it scored held-out texts worse than the tree alone.
 
+Where the tree is. The probability of a byte depends on its (depth + 1)-gram alone, so the tree is a Spark
+table of the probabilities of all grams that texts hold, made from the root outwards: a level joins the
+one before on the gram without its first byte, which at most 256 grams share. Chunks get the rows of their
+own grams by a join. Nothing of it is on the driver or broadcast. ``Tree`` holds the same model as an
+automaton, for corpora that fit the driver.
+
 Base. The words of a chunk of texts are counted together, the counts of equal words summed over chunks,
 and every chunk gets the sums of its own words back. Chunks are hash-dealt, of bounded bytes; no task
 holds the vocabulary. Words meet by 64-bit names.
@@ -31,11 +35,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from opstelemetry.functions.scale import settle
 from opstelemetry.llm import textbytes as B
 from opstelemetry.llm.rounds import finished
 
@@ -43,6 +47,7 @@ DEPTH = 5
 END = 10
 CHUNK_BYTES = 8 << 20
 FOLDS, HELD_OUT = 7, 2
+LEAST = 2
 _SEGMENT = 512
 _WORD = B.byte_class(" \n")
 _END_NAME = -1
@@ -76,23 +81,28 @@ def _blocks_of(texts: pa.Array) -> Iterator[tuple[int, list[bytes]]]:
 # -- learning ------------------------------------------------------------------------------
 
 
+def _codes(texts: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """The gram of every predicted byte of all texts in a row, and each text's number of them."""
+    data, starts = _stream(texts, depth)
+    code = np.zeros(len(data) - depth, np.uint64)
+    for j in range(depth + 1):
+        code = (code << np.uint64(8)) | data[j : j + len(code)]
+    ends = np.concatenate([starts[1:] - depth, [len(data)]])
+    inside = np.ones(len(code), bool)
+    for e in range(depth):  # the paddings themselves are given, not predicted
+        past = ends[:-1] + e - depth
+        inside[past[past >= 0]] = False
+    return code[inside].view(np.int64), ends - starts
+
+
 def _grams(depth: int, step: int = 3 << 20):
     def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
         size = 0
         for batch in batches:
             for _, texts in _blocks_of(batch.column(0)):
-                data, starts = _stream(texts, depth)
-                code = np.zeros(len(data) - depth, np.uint64)
-                for j in range(depth + 1):
-                    code = (code << np.uint64(8)) | data[j : j + len(code)]
-                ends = np.concatenate([starts[1:] - depth, [len(data)]])
-                inside = np.ones(len(code), bool)
-                for e in range(depth):  # the paddings themselves are given, not predicted
-                    past = ends[:-1] + e - depth
-                    inside[past[past >= 0]] = False
-                held.append(code[inside])
-                size += int(inside.sum())
+                held.append(_codes(texts, depth)[0])
+                size += len(held[-1])
                 if size >= step:
                     yield _counted(held)
                     held, size = [], 0
@@ -104,7 +114,7 @@ def _grams(depth: int, step: int = 3 << 20):
 
 def _counted(held: list[np.ndarray]) -> pa.RecordBatch:
     codes, n = np.unique(np.concatenate(held), return_counts=True)
-    return pa.RecordBatch.from_arrays([pa.array(codes.view(np.int64)), pa.array(n)], ["gram", "n"])
+    return pa.RecordBatch.from_arrays([pa.array(codes), pa.array(n)], ["gram", "n"])
 
 
 def counts(training: DataFrame, depth: int = DEPTH) -> DataFrame:
@@ -202,15 +212,12 @@ class Tree:
         return sums, np.diff(np.searchsorted(stops, np.concatenate([starts, [len(data)]])))
 
 
-def learn(grams: DataFrame, depth: int = DEPTH, gain: float = 2.0, prior: float = 4.0, states: int = 1 << 15) -> Tree:
-    """Fit the tree. At most ``states`` contexts come to the driver, each with at most 256 counts."""
+def learn(grams: DataFrame, depth: int = DEPTH, gain: float = 2.0, prior: float = 4.0) -> Tree:
+    """Fit the tree on the driver, which all kept contexts come to; ``tree_table`` is the form without that."""
     table = finished(by_context(grams, depth))
     root = {r["symbol"]: r["n"] for r in table.where("size = 0").collect()}
-    least = max(2, sum(root.values()) >> 21)
-    tested = finished(tested_contexts(table, least).where(F.col("gained") > gain * F.col("seen")))
-    while tested.where(F.col("total") >= least).count() > states:
-        least *= 2
-    own = table.join(tested.where(F.col("total") >= least).select("size", "context"), ["size", "context"])
+    tested = tested_contexts(table, LEAST).where(F.col("gained") > gain * F.col("seen"))
+    own = table.join(tested.select("size", "context"), ["size", "context"])
     rows = own.groupBy("size", "context").agg(F.collect_list("symbol").alias("symbols"), F.collect_list("n").alias("counts")).toArrow()
     kept = {}
     for batch in rows.to_batches():
@@ -219,6 +226,35 @@ def learn(grams: DataFrame, depth: int = DEPTH, gain: float = 2.0, prior: float
     return Tree(root, kept, depth, prior)
 
 
+def tree_table(grams: DataFrame, depth: int = DEPTH, gain: float = 2.0, prior: float = 4.0) -> DataFrame:
+    """(gram, n, total, kept, p) of distinct (gram, n), where n counts training texts and may be 0.
+
+    ``total`` counts the gram's context, ``kept`` tells whether the context passed the test, and ``p`` is
+    the probability of the gram's last byte after the others.
+    """
+
+    def of(size: int) -> DataFrame:
+        gram = F.col("gram").bitwiseAND((1 << (8 * (size + 1))) - 1).alias("gram")
+        return grams.groupBy(gram).agg(F.sum("n").alias("n"))
+
+    total = int(grams.agg(F.sum("n")).first()[0] or 0)
+    level = of(0).select("gram", "n", F.lit(total).cast("bigint").alias("total"), F.lit(False).alias("kept"), ((F.col("n") + 1) / F.lit(total + 256.0)).alias("p"))
+    for size in range(1, depth + 1):
+        shorter = level.select(F.col("gram").alias("suffix"), F.col("n").alias("sn"), F.col("total").alias("st"), F.col("p").alias("sp"))
+        rows = of(size) if size < depth else grams
+        rows = rows.withColumns({"context": F.shiftright("gram", 8), "suffix": F.col("gram").bitwiseAND((1 << (8 * size)) - 1)})
+        context = W.partitionBy("context")
+        rows = rows.join(shorter, "suffix").withColumn("total", F.sum("n").over(context))
+        # the logarithm of 0 is null, which sums leave out
+        share = F.log("n") - F.log("total") - F.log("sn") + F.log("st")
+        gained = F.sum(F.col("n") * share).over(context)
+        seen = F.count(F.when(F.col("n") > 0, 1)).over(context)
+        kept = (F.col("total") >= LEAST) & F.coalesce(gained > gain * seen, F.lit(False))
+        smoothed = (F.col("sp") * prior + F.col("n")) / (F.col("total") + prior)
+        level = rows.withColumn("kept", kept).select("gram", "n", "total", "kept", F.when(F.col("kept"), smoothed).otherwise(F.col("sp")).alias("p"))
+    return level
+
+
 # -- scoring -------------------------------------------------------------------------------
 
 
@@ -231,23 +267,32 @@ def _word_names(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.where(names == _END_NAME, 0, names), n
 
 
-def _chunk_words(table: pa.Table) -> pa.Table:
-    """Distinct words of a chunk with their number of places in training texts."""
-    names, numbers, ends = [], [], 0
-    training = np.invert(table.column("held_out").to_numpy())
-    for chunk in _even(table):
-        for first, texts in _blocks_of(chunk[1]):
-            own, n = _word_names(texts)
-            use = training[chunk[0] + first : chunk[0] + first + len(texts)]
-            ends += int(use.sum())
-            distinct, at = np.unique(own, return_inverse=True)
-            names.append(distinct)
-            numbers.append(np.bincount(at, np.repeat(use, n), len(distinct)).astype(np.int64))
-    names, numbers = np.concatenate([*names, [_END_NAME]]), np.concatenate([*numbers, [ends]])
-    distinct, at = np.unique(names, return_inverse=True)
-    n = np.bincount(at, numbers, len(distinct)).astype(np.int64)
-    number = table.column("chunk")[0].as_py()
-    return pa.table({"name": distinct, "chunk": np.full(len(distinct), number, np.int64), "n": n})
+def _summed(names: list[np.ndarray], numbers: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    distinct, at = np.unique(np.concatenate(names), return_inverse=True)
+    return distinct, np.bincount(at, np.concatenate(numbers), len(distinct)).astype(np.int64)
+
+
+def _chunk_parts(depth: int):
+    def parts(table: pa.Table) -> pa.Table:
+        """Distinct words and grams of a chunk with their number of places in training texts."""
+        words, grams, ends = ([], []), ([], []), 0
+        training = np.invert(table.column("held_out").to_numpy())
+        for chunk in _even(table):
+            for first, texts in _blocks_of(chunk[1]):
+                use = training[chunk[0] + first : chunk[0] + first + len(texts)]
+                ends += int(use.sum())
+                for (names, numbers), (own, n) in ((words, _word_names(texts)), (grams, _codes(texts, depth))):
+                    distinct, counted = _summed([own], [np.repeat(use, n)])
+                    names.append(distinct)
+                    numbers.append(counted)
+        words[0].append(np.array([_END_NAME]))
+        words[1].append(np.array([ends]))
+        (name, n), (gram, m) = _summed(*words), _summed(*grams)
+        is_gram = np.repeat([False, True], [len(name), len(gram)])
+        chunks = np.full(len(is_gram), table.column("chunk")[0].as_py(), np.int64)
+        return pa.table({"is_gram": is_gram, "name": np.concatenate([name, gram]), "chunk": chunks, "n": np.concatenate([n, m])})
+
+    return parts
 
 
 def _even(table: pa.Table) -> Iterator[tuple[int, pa.Array]]:
@@ -257,29 +302,31 @@ def _even(table: pa.Table) -> Iterator[tuple[int, pa.Array]]:
         first += len(text)
 
 
-def _scorer(shared):
+def _sorted(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    names = table.column("name").to_numpy()
+    order = np.argsort(names)
+    return names[order], table.column("value").to_numpy()[order]
+
+
+def _scorer(depth: int):
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
-        tree: Tree = shared.value
-        order = np.argsort(right.column("name").to_numpy())
-        names = right.column("name").to_numpy()[order]
-        seen = right.column("total").to_numpy()[order]
+        is_gram = right.column("is_gram")
+        names, seen = _sorted(right.filter(pc.invert(is_gram)))
+        grams, logs = _sorted(right.filter(is_gram))
         fresh = int(right.column("fresh").to_numpy().sum())
+        end = seen[np.searchsorted(names, _END_NAME)]
         out = [[], [], [], []]
         for _, chunk in _even(left):
             for _, texts in _blocks_of(chunk):
-                own, _ = _word_names(texts)
-                logs, n = tree.token_scores(texts)
-                token = np.full(len(logs), _END_NAME)
-                last = np.cumsum(n) - 1
-                is_word = np.ones(len(logs), bool)
-                is_word[last] = False
-                token[is_word] = own
-                count = seen[np.searchsorted(names, token)]
+                own, n = _word_names(texts)
+                count = seen[np.searchsorted(names, own)]
                 text = np.repeat(np.arange(len(texts)), n)
-                out[0].append(n)
-                out[1].append(np.bincount(text, count > 0, len(texts)).astype(np.int64))
-                out[2].append(np.bincount(text, np.log10(count + 1.0), len(texts)))
-                out[3].append(np.bincount(text, logs, len(texts)))
+                codes, places = _codes(texts, depth)
+                place = np.repeat(np.arange(len(texts)), places)
+                out[0].append(n + 1)
+                out[1].append(np.bincount(text, count > 0, len(texts)).astype(np.int64) + int(end > 0))
+                out[2].append(np.bincount(text, np.log10(count + 1.0), len(texts)) + np.log10(end + 1.0))
+                out[3].append(np.bincount(place, logs[np.searchsorted(grams, codes)], len(texts)))
         n, known, base, tree_score = (np.concatenate(x) for x in out)
         first = np.zeros(len(n), np.int64)
         first[:1] = fresh
@@ -293,28 +340,38 @@ def _scorer(shared):
 def scored(docs: DataFrame, key: str = "doc_id", depth: int = DEPTH, gain: float = 2.0, prior: float = 4.0) -> DataFrame:
     """One row per row of ``docs``: key, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     rows = docs.select(F.col(key).alias("key"), F.coalesce("text", F.lit("")).alias("text"), held_out(key).alias("held_out"))
-    shared = docs.sparkSession.sparkContext.broadcast(learn(counts(rows.where("not held_out"), depth), depth, gain, prior))
-
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     chunks = 1 + int(size) // CHUNK_BYTES
     dealt = rows.withColumn("chunk", F.pmod(F.xxhash64("key", "text"), F.lit(chunks)))
-    words = dealt.groupBy("chunk").applyInArrow(_chunk_words, "name bigint, chunk bigint, n bigint")
+    parts = finished(dealt.groupBy("chunk").applyInArrow(_chunk_parts(depth), "is_gram boolean, name bigint, chunk bigint, n bigint"))
     whole = W.partitionBy("name")
-    summed = words.select(
+    summed = parts.where("not is_gram").select(
         "name",
         "chunk",
         F.sum("n").over(whole).alias("total"),
         F.min("chunk").over(whole).alias("least"),
     )
-    known = summed.select("name", "chunk", "total", ((F.col("chunk") == F.col("least")) & (F.col("total") > 0)).cast("int").alias("fresh"))
+    fresh = (F.col("chunk") == F.col("least")) & (F.col("total") > 0)
+    words = summed.select("name", "chunk", F.lit(False).alias("is_gram"), F.col("total").cast("double").alias("value"), fresh.cast("int").alias("fresh"))
+    words = finished(words)
+    # a gram's chunks in lists of bounded length, so that its probability meets the lists instead of a row for each chunk
+    places = parts.where("is_gram").groupBy(F.col("name").alias("gram"), F.shiftright("chunk", 8).alias("block"))
+    lists = finished(places.agg(F.sum("n").alias("n"), F.collect_list(F.col("chunk").cast("int")).alias("chunks")), parts)
+    grams = finished(lists.groupBy("gram").agg(F.sum("n").alias("n")))
+    logs = finished(tree_table(grams, depth, gain, prior).select("gram", F.log10("p").alias("value")), grams)
+    met = lists.join(logs, "gram").select(F.col("gram").alias("name"), F.explode(F.col("chunks").cast("array<bigint>")).alias("chunk"), F.lit(True).alias("is_gram"), "value", F.lit(0).alias("fresh"))
+    known = words.unionByName(met)
     kind = rows.schema["key"].dataType.simpleString()
-    found = settle(
+    found = finished(
         dealt.groupBy("chunk")
         .cogroup(known.groupBy("chunk"))
         .applyInArrow(
-            _scorer(shared),
+            _scorer(depth),
             f"key {kind}, held_out boolean, n_tokens bigint, n_known bigint, logs double, fresh bigint, score double",
-        )
+        ),
+        words,
+        lists,
+        logs,
     )
     both = found.agg(F.sum(F.when(~F.col("held_out"), F.col("n_tokens"))), F.sum("fresh")).first()
     n, v = int(both[0] or 0), int(both[1] or 0)

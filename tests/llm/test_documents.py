@@ -227,6 +227,40 @@ def test_suffix_tree(docs, rows, none):
     assert suffix_tree.scored(none).collect() == []
 
 
+def test_no_context_of_the_suffix_tree_is_dropped(spark):
+    rnd = random.Random(11)
+    lexicon = ["".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)) for _ in range(9000)]
+    rows = [(i, " ".join(rnd.choice(lexicon) for _ in range(300))) for i in range(100)] + [(100, None), (None, "zz Qq\n")]
+    held = [zlib.crc32(b"" if k is None else str(k).encode()) % 7 == 2 for k, _ in rows]
+    streams = [b"\n" * 5 + b"".join(w + b" " for w in raw(t).lower().split()) + b"\n" for _, t in rows]
+    n, total, seen = Counter(), Counter(), {}
+    for h, s in zip(held, streams, strict=True):
+        for i in range(5, len(s)) if not h else ():
+            for size in range(6):
+                context = s[i - size : i]
+                n[context, s[i]] += 1
+                total[context] += 1
+                seen.setdefault(context, set()).add(s[i])
+
+    def passes(c):
+        gained = sum(n[c, x] * math.log(n[c, x] / total[c] * total[c[1:]] / n[c[1:], x]) for x in seen[c])
+        return total[c] >= 2 and gained > 2 * len(seen[c])
+
+    kept = {c for c in seen if c and passes(c)}
+    assert len(kept) > 1 << 15
+
+    def log(s, i):
+        p = (n[b"", s[i]] + 1) / (total[b""] + 256)
+        for size in range(1, 6):
+            if (c := s[i - size : i]) in kept:
+                p = (4 * p + n[c, s[i]]) / (total[c] + 4)
+        return math.log10(p)
+
+    want = {k: sum(log(s, i) for i in range(5, len(s))) for (k, _), s in zip(rows, streams, strict=True)}
+    found = suffix_tree.scored(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert {r["doc_id"]: round(r["score"], 4) for r in found} == {k: round(x, 4) for k, x in want.items()}
+
+
 def test_tree_is_a_distribution_and_cuts_change_nothing(spark):
     rows = [(i, "the thin then thing in on the other " * (1 + i % 4)) for i in range(40)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
