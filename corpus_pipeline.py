@@ -1,8 +1,8 @@
 """The corpus pipeline: five stages from raw documents to a mix at target weights.
 
 Each stage takes (spark, docs, sf_dir) and returns what the next one reads; all but the last return the
-columns of ``documents``. Null ids, null texts and repeated rows pass like others, but of rows that share
-an id and a group only one stays after near-dedup.
+columns of ``documents``. Null ids, null texts and repeated rows pass like others: stages remove rows, not
+ids, and of each near-dedup group one row stays.
 """
 
 from __future__ import annotations
@@ -20,18 +20,14 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked fingerprints the document with the smallest id stays."""
-    found = settle(simhash.near_duplicates(docs, length=3, max_bits=2).select("doc_id", "component_id"))
-    rest = found.where(~F.col("doc_id").eqNullSafe(F.col("component_id")))
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    gone = rest.select(F.col("doc_id").alias("__gone")).distinct()
-    again = kept.groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("__again"))
-    stay = docs.join(gone, F.col("doc_id").eqNullSafe(F.col("__gone")), "left_anti")
-    if again.isEmpty():
-        return stay
-    same = F.col("doc_id").eqNullSafe(F.col("__again"))
-    single = stay.join(again, same, "left_anti")
-    return single.unionByName(stay.join(again, same, "left_semi").dropDuplicates(["doc_id"]))
+    """Of each group of linked fingerprints the row with the smallest id stays; null ids come last, then contents decide."""
+    order = F.struct(
+        F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.xxhash64(*docs.columns).alias("content"), F.monotonically_increasing_id().alias("row")
+    )
+    keyed = settle(docs.withColumn("__order", order))
+    found = simhash.near_duplicates(keyed, length=3, max_bits=2, key="__order")
+    gone = settle(found.where("__order.row != component_id.row").select(F.col("__order.row").alias("__gone")))
+    return keyed.join(gone, F.col("__order.row") == F.col("__gone"), "left_anti").select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -170,9 +170,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, share: float = SHARE, ke
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, share: float = SHARE) -> DataFrame:
-    """The documents that hold no item; all columns stay. A null doc_id is judged like any other."""
-    hit = settle(contaminated(docs, benchmark, share).select(F.col("doc_id").alias("__hit")).distinct())
-    return docs.join(hit, F.col("doc_id").eqNullSafe(F.col("__hit")), "left_anti")
+    """The rows whose text holds no item; all columns stay. Rows are judged one by one, whatever their ids."""
+    keyed = settle(docs.withColumn("__row", F.monotonically_increasing_id()))
+    hit = settle(contaminated(keyed, benchmark, share, "__row").select("__row").distinct())
+    return keyed.join(hit, "__row", "left_anti").select(*docs.columns)
 
 
 def oracle_sql(share: float = SHARE) -> str:

@@ -1,12 +1,13 @@
 """The pipeline against its stages on the driver, and the SQL of the queries that have one."""
 
+import random
 import re
 
 import duckdb
 import pytest
 
 import corpus_pipeline
-from opstelemetry.llm import queries
+from opstelemetry.llm import decontam, queries
 from tests.llm.test_documents import base_spans, groups, measures
 
 SF = "/root/testdata/sf0.001"
@@ -51,3 +52,21 @@ def test_pipeline(spark, con):
         assert text == want[key][1] or "[SECRET]" in text
     mix = corpus_pipeline.run(spark, SF).collect()
     assert {r["doc_id"] for r in mix} <= set(want) and all(r["taken"] > 0 for r in mix)
+
+
+def test_stages_remove_rows_not_ids(spark):
+    rnd = random.Random(3)
+    one, two, three, four, five = (" ".join(str(rnd.random()) for _ in range(40)) for _ in range(5))
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    # a null-id copy of a numbered row, null ids of two groups, and one id with two texts, one of them a copy
+    rows = [(1, one), (None, one), (None, two), (None, three), (None, three), (2, four), (2, one), (3, five), (3, five)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], schema).repartition(3)
+    kept = corpus_pipeline.near_dedup(spark, docs, SF)
+    assert kept.columns == docs.columns
+    want = [(1, one), (None, two), (None, three), (2, four), (3, five)]
+    assert sorted(map(repr, ((r["doc_id"], r["text"]) for r in kept.collect()))) == sorted(map(repr, want))
+    benchmark = spark.createDataFrame([(7, two), (8, four)], "item_id long, text string")
+    clean = decontam.clean(docs, benchmark)
+    want = [r for r in rows if r[1] not in (two, four)]
+    assert clean.columns == docs.columns
+    assert sorted(map(repr, ((r["doc_id"], r["text"]) for r in clean.collect()))) == sorted(map(repr, want))
