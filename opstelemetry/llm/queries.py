@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from opstelemetry.llm import decontam, mixing
+from opstelemetry.llm import centroids, decontam, mixing, near_vectors, prefix_trie
 from opstelemetry.llm.chat import events_of, formatted, tool_table
 from opstelemetry.llm.decontam import contaminated
 from opstelemetry.llm.licenses import scanned
@@ -67,6 +67,18 @@ def op10_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return judged(documents(spark, sf)).select("doc_id", *columns, "base_failed", "kept", "failed_rule")
 
 
+def op11_conversation_trie(spark: SparkSession, sf: str) -> DataFrame:
+    return prefix_trie.trie(spark.read.parquet(f"{sf}/conversations.parquet"))
+
+
+def op12_centroid_clustering(spark: SparkSession, sf: str) -> DataFrame:
+    return centroids.clustered(spark.read.parquet(f"{sf}/embeddings.parquet"))
+
+
+def op13_embedding_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return near_vectors.near_duplicates(spark.read.parquet(f"{sf}/embeddings.parquet"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_chat_formatting": op1_chat_formatting,
@@ -79,8 +91,17 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_simhash": op8_simhash,
         "op9_secret_scans": op9_secret_scans,
         "op10_quality_rules": op10_quality_rules,
+        "op11_conversation_trie": op11_conversation_trie,
+        "op12_centroid_clustering": op12_centroid_clustering,
+        "op13_embedding_near_dedup": op13_embedding_near_dedup,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_mixing_sources": mixing.oracle_sql(), "op7_benchmark_decontamination": decontam.oracle_sql()}
+    return {
+        "op4_mixing_sources": mixing.oracle_sql(),
+        "op7_benchmark_decontamination": decontam.oracle_sql(),
+        "op11_conversation_trie": prefix_trie.oracle_sql(),
+        "op12_centroid_clustering": centroids.oracle_sql(),
+        "op13_embedding_near_dedup": near_vectors.oracle_sql(),
+    }

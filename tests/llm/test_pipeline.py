@@ -16,7 +16,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.fixture(scope="module")
 def con():
     out = duckdb.connect()
-    for name in ("documents", "benchmark"):
+    for name in ("documents", "benchmark", "conversations", "embeddings"):
         out.sql(f"create view {name} as select * from '{SF}/{name}.parquet'")
     return out
 
