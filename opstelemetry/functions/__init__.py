@@ -11,11 +11,11 @@ from opstelemetry.functions.scalar import (
     weekday_of,
 )
 from opstelemetry.functions.scale import (
+    in_order,
     lookup_join,
     measured_bytes,
     running_totals,
     settle,
-    with_slices,
 )
 
 __all__ = [
@@ -24,6 +24,7 @@ __all__ = [
     "fmt_time",
     "hour_bucket",
     "hour_of",
+    "in_order",
     "lookup_join",
     "measured_bytes",
     "missing_as_null",
@@ -33,5 +34,4 @@ __all__ = [
     "to_ts",
     "try_num",
     "weekday_of",
-    "with_slices",
 ]

@@ -7,7 +7,6 @@ import uuid
 from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -122,52 +121,57 @@ def lookup_join(
     return fact.join(side, condition, how).drop(*key_of.values())
 
 
-def with_slices(df: DataFrame, column: str, name: str, slices: int = 1024) -> DataFrame:
-    """Add a number that rises with a numeric column and has about equally many rows per value.
+def in_order(df: DataFrame, order: Sequence[Column]) -> DataFrame:
+    """Range-sort and settle, with ``__part`` and ``__at``: the partition and the place inside it.
 
-    The borders are Spark's approximate quantiles, a bounded list whatever the data. Rows with
-    one and the same value share a slice; rows without a value are left out.
+    The settled rows fix the partitions' borders, which sampling may set otherwise on another run.
     """
-    steps = [i / slices for i in range(1, slices)]
-    borders = sorted(set(df.approxQuantile(column, steps, 0.5 / slices)))
-    splits = [float("-inf"), *borders, float("inf")]
-    return Bucketizer(splits=splits, inputCol=column, outputCol=name, handleInvalid="skip").transform(df)
+    spot = F.monotonically_increasing_id()
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    return settle(ranged.withColumns({"__part": F.shiftrightunsigned(spot, 33), "__at": spot.bitwiseAND(2**33 - 1)}))
 
 
 def running_totals(
     df: DataFrame,
     totals: Mapping[str, Column],
     order: Sequence[Column],
-    bucket: Column,
     group: Sequence[str] = (),
+    part: str | None = None,
 ) -> DataFrame:
     """Add running totals over a long ordering without sorting it in one task.
 
-    ``bucket`` must not decrease along ``order`` inside a group. Rows are summed inside their
-    bucket, and the buckets' own sums are accumulated separately, so a task holds either one
-    bucket or one row per bucket. ``<name>_all`` carries the group's grand total. Rows whose
-    group or bucket is NULL are left out.
+    Rows are range-sorted by group and ``order``, so a hot group spreads over partitions; Spark's total
+    order holds for every value, NULL and NaN included, and a NULL group is a group. Totals are
+    accumulated inside partitions. Only a group that crosses a border needs an offset: two rows a
+    partition at most, which are broadcast. ``<name>_all`` carries the group's grand total, and
+    ``part`` names a column for the partition.
     """
-    group = list(group)
-    values = {name: f"__v_{name}" for name in totals}
-    rows = df.withColumns({"__bucket": bucket, **{values[n]: c for n, c in totals.items()}})
-    by = [*group, "__bucket"]
-    per_bucket = rows.groupBy(*by).agg(*[F.sum(v).alias(v) for v in values.values()])
-    whole = W.partitionBy(*group)
-    before = whole.orderBy("__bucket").rowsBetween(W.unboundedPreceding, -1)
-    offsets = per_bucket.select(
-        *[F.col(c).alias(f"__o_{c}") for c in by],
+    group, values = list(group), {name: f"__v_{name}" for name in totals}
+    rows = df.withColumns({values[n]: c for n, c in totals.items()})
+    rows = in_order(rows, [*[F.col(g).asc_nulls_first() for g in group], *order])
+    sums = rows.groupBy("__part", *group).agg(*[F.sum(v).alias(v) for v in values.values()])
+    whole = W.partitionBy(*group) if group else W.partitionBy(F.lit(0))
+    before = whole.orderBy("__part").rowsBetween(W.unboundedPreceding, -1)
+    spans = sums.select(
+        F.col("__part").alias("__o_part"),
+        *[F.col(g).alias(f"__o_{g}") for g in group],
         *[F.coalesce(F.sum(v).over(before), F.lit(0)).alias(f"__before_{n}") for n, v in values.items()],
-        *[F.sum(v).over(whole).alias(f"{n}_all") for n, v in values.items()],
+        *[F.sum(v).over(whole).alias(f"__all_{n}") for n, v in values.items()],
+        F.count(F.lit(1)).over(whole).alias("__parts"),
+    ).where("__parts > 1")
+    inside = W.partitionBy("__part", *group)
+    upto = inside.orderBy("__at").rowsBetween(W.unboundedPreceding, 0)
+    local = rows.withColumns(
+        {f"__in_{n}": F.sum(v).over(upto) for n, v in values.items()}
+        | {f"__sum_{n}": F.sum(v).over(inside) for n, v in values.items()}
     )
-    inside = W.partitionBy(*by).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
-    local = rows.withColumns({f"__in_{n}": F.sum(v).over(inside) for n, v in values.items()})
-    condition: Column = F.lit(True)
-    for c in by:
-        condition = condition & (F.col(c) == F.col(f"__o_{c}"))
-    joined = local.join(offsets, condition, "inner")
+    same: Column = F.col("__part") == F.col("__o_part")
+    for g in group:
+        same = same & F.col(g).eqNullSafe(F.col(f"__o_{g}"))
+    joined = local.join(F.broadcast(spans), same, "left")
     return joined.select(
         *df.columns,
-        *[(F.col(f"__in_{n}") + F.col(f"__before_{n}")).alias(n) for n in totals],
-        *[f"{n}_all" for n in totals],
+        *[(F.col(f"__in_{n}") + F.coalesce(f"__before_{n}", F.lit(0))).alias(n) for n in totals],
+        *[F.coalesce(f"__all_{n}", f"__sum_{n}").alias(f"{n}_all") for n in totals],
+        *([F.col("__part").alias(part)] if part else []),
     )

@@ -13,7 +13,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opstelemetry.functions.scale import running_totals, scratch_root, settle, with_slices
+from opstelemetry.functions.scale import running_totals, scratch_root, settle
 from opstelemetry.operators.features import class_ratio, split
 from opstelemetry.operators.filters import feature_names
 
@@ -159,26 +159,28 @@ def confusion_metrics(scored: DataFrame, positive: int = 1) -> DataFrame:
 def pr_curve(scored: DataFrame, positive: int = 1, score_column: str = "p_incident") -> DataFrame:
     """M9: precision and recall at every different score, from the highest down.
 
-    Rows are first counted per score. The scores are then accumulated over slices of about
-    equal length, so the curve is not built in one task however the scores crowd together.
+    Rows are first counted per score. Any double is a score, in Spark's total order: NaN stands above
+    infinity and has its own point. Rows without a score are in no prediction but still count as
+    positives to be found, so recall stays below 1. An empty hold-out has no points; one without
+    positives has no recall.
     """
     hit = F.col("label") == positive
     points = settle(
-        scored.where(F.col(score_column).isNotNull())
-        .groupBy(F.col(score_column).alias("threshold"))
-        .agg(F.count_if(hit).alias("hits"), F.count(F.lit(1)).alias("rows"))
+        scored.groupBy(F.col(score_column).cast("double").alias("threshold")).agg(
+            F.count_if(hit).alias("hits"), F.count(F.lit(1)).alias("rows")
+        )
     )
+    known = F.col("threshold").isNotNull()
     total = running_totals(
-        with_slices(points, "threshold", "__slice"),
-        {"tp": F.col("hits"), "predicted": F.col("rows")},
-        order=[F.desc("threshold")],
-        bucket=-F.col("__slice"),
-    )
+        points,
+        {"tp": F.when(known, F.col("hits")).otherwise(0), "predicted": F.when(known, F.col("rows")).otherwise(0), "real": F.col("hits")},
+        order=[F.desc_nulls_last("threshold")],
+    ).where(known)
     return total.select(
         "threshold",
         F.try_divide(F.col("tp"), F.col("predicted")).alias("precision"),
-        F.try_divide(F.col("tp"), F.col("tp_all")).alias("recall"),
-        (F.try_divide(F.col("hits"), F.col("tp_all")) * F.col("tp") / F.col("predicted")).alias("gain"),
+        F.try_divide(F.col("tp"), F.col("real_all")).alias("recall"),
+        (F.try_divide(F.col("hits"), F.col("real_all")) * F.col("tp") / F.col("predicted")).alias("gain"),
     )
 
 

@@ -35,38 +35,21 @@ def device_count(
 def client_rank(counts: DataFrame) -> DataFrame:
     """Share, cumulative share and rank of clients, most devices first.
 
-    Clients with equal counts come in order of the MD5 of their id. The first digits of it cut
-    a long run of equal counts into slices, so no task has to order all clients.
+    Clients with equal counts come in order of the MD5 of their id. One running total over the range-sorted
+    clients gives all three, whatever their number and however many have equal counts.
     """
-    counts = settle(counts)
     spread = F.md5(F.col("NEW_BUS_ID").cast("string"))
-    slices = counts.withColumn("__spread", spread).withColumn("__slice", F.substring("__spread", 1, 3))
-    order = [F.desc("RECONCILIATION_NUM"), F.col("__spread"), F.col("NEW_BUS_ID")]
-    within = running_totals(
-        slices,
-        {"__tied": F.lit(1), "__tied_devices": F.col("RECONCILIATION_NUM")},
-        order=order,
-        bucket=F.col("__slice"),
-        group=["RECONCILIATION_NUM"],
+    ranked = running_totals(
+        settle(counts),
+        {"__rank": F.lit(1), "__upto": F.col("RECONCILIATION_NUM")},
+        order=[F.desc("RECONCILIATION_NUM"), spread, F.col("NEW_BUS_ID")],
     )
-    levels = running_totals(
-        counts.groupBy("RECONCILIATION_NUM").agg(F.count(F.lit(1)).alias("__clients")),
-        {"__upto": F.col("__clients"), "__upto_devices": F.col("__clients") * F.col("RECONCILIATION_NUM")},
-        order=[F.desc("RECONCILIATION_NUM")],
-        bucket=-F.floor(F.col("RECONCILIATION_NUM") / 1000),
-    ).withColumnRenamed("RECONCILIATION_NUM", "__level")
-    # n devices give fewer than sqrt(2n) different counts, so the levels always fit a broadcast.
-    ranked = within.join(
-        F.broadcast(levels), F.col("RECONCILIATION_NUM") == F.col("__level"), "inner"
-    )
-    total = F.col("__upto_devices_all")
-    devices = F.col("__upto_devices") - F.col("__tied_devices_all") + F.col("__tied_devices")
     return ranked.select(
         "NEW_BUS_ID",
         "RECONCILIATION_NUM",
-        (F.lit(100.0) * F.col("RECONCILIATION_NUM") / total).alias("PERCENT"),
-        (F.lit(100.0) * devices / total).alias("CUMULATIVE_PERCENT"),
-        (F.col("__upto") - F.col("__tied_all") + F.col("__tied")).alias("RANK"),
+        (F.lit(100.0) * F.col("RECONCILIATION_NUM") / F.col("__upto_all")).alias("PERCENT"),
+        (F.lit(100.0) * F.col("__upto") / F.col("__upto_all")).alias("CUMULATIVE_PERCENT"),
+        F.col("__rank").alias("RANK"),
     )
 
 

@@ -15,143 +15,70 @@ from opstelemetry.operators.filters import canonical_site, only, valid_values
 
 PERCENTILES = (10, 20, 30, 40, 50, 60, 70, 80, 90, 99)
 LEVELS = {"site": "SITE", "client": "NEW_BUS_ID", "device": "RECON_ID"}
-GROUP_LIMIT = 500_000
-_BANDS = 200.0
-_PARTS = 1024
 
 
-def value_band(value: Column) -> Column:
-    """A whole number that never decreases as the value grows, about half a percent wide."""
-    return F.floor(F.signum(value) * F.log1p(F.abs(value)) * F.lit(_BANDS))
-
-
-def distribution(
-    df: DataFrame,
-    keys: Sequence[str],
-    value: str,
-    percentiles: Mapping[str, float],
-    group_limit: int = GROUP_LIMIT,
-) -> DataFrame:
+def distribution(df: DataFrame, keys: Sequence[str], value: str, percentiles: Mapping[str, float]) -> DataFrame:
     """Mean, count, sample standard deviation, min, max and exact percentiles per key.
 
     ``percentiles`` maps output names to fractions; values between two ranks are interpolated
     linearly. Rows with a NULL key take no part, nor do NULL values; a key without any value
     keeps its row, with a count of 0.
 
-    Spark's ``percentile`` keeps the values of a group in memory, so it is used only after a
-    count shows that no group is larger than ``group_limit``. Otherwise groups are split by
-    value (``_split_distribution``). Both give the same numbers.
+    The input is read once, to count rows per (key, value), which combines repeats before the
+    shuffle. The counts are range-sorted by key and value, so a hot key spreads over partitions, and
+    their running totals are ranks. Each (key, partition) then gives one row with its moments about
+    its own mean and the values at the wanted ranks; a key merges as many as it has partitions.
+
+    NaN is the greatest value, as in Spark's order: it can be a maximum or a percentile, and makes
+    mean and deviation NaN. Infinities make the deviation NaN, and the mean infinite or, with both
+    signs, NaN. A percentile between a finite and an infinite rank is infinite.
     """
-    keys = list(keys)
+    keys, v, n = list(keys), F.col("__v"), F.col("__n")
     present = df
     for k in keys:
         present = present.where(F.col(k).isNotNull())
-    sizes = present.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    largest = sizes.agg(F.max("n").alias("n")).first()["n"] or 0 if group_limit else 1
-    if largest > group_limit:
-        return _split_distribution(present, keys, value, percentiles)
-    fractions = F.array(*[F.lit(float(p)) for p in percentiles.values()])
-    exact = [F.percentile(F.col(value).cast("double"), fractions).alias("__p")] if percentiles else []
-    stats = present.groupBy(*keys).agg(*_moments(value), *exact)
-    return stats.withColumns({n: F.col("__p")[i] for i, n in enumerate(percentiles)}).drop("__p")
-
-
-def _moments(value: str) -> list[Column]:
-    v = F.col(value).cast("double")
-    return [
-        F.mean(v).alias("mean"),
-        F.count(v).alias("count"),
-        F.stddev_samp(v).alias("std"),
-        F.min(v).alias("min"),
-        F.max(v).alias("max"),
-    ]
-
-
-def _split_distribution(
-    present: DataFrame, keys: list[str], value: str, percentiles: Mapping[str, float]
-) -> DataFrame:
-    """The same without ever holding a group in one task.
-
-    The moments combine on the map side. For the percentiles, rows are counted per
-    (key, value), which spreads a hot key over its values and combines repeats before the
-    shuffle. The counts are summed per value band, of which a key has a few thousand at most,
-    to find the band holding each rank. Only those bands are put in order, each in equal parts
-    between its least and greatest value, since values may crowd into one band.
-    """
-    moments = present.groupBy(*keys).agg(*_moments(value))
-    if not percentiles:
-        return moments
     counts = settle(
-        present.where(F.col(value).isNotNull())
-        .groupBy(*keys, F.col(value).cast("double").alias("__v"))
-        .agg(F.count(F.lit(1)).alias("__n"))
-        .withColumn("__band", value_band(F.col("__v")))
-    )
-    whole = W.partitionBy(*keys)
-    upto = whole.orderBy("__band").rowsBetween(W.unboundedPreceding, 0)
-    bands = (
-        counts.groupBy(*keys, "__band")
-        .agg(F.sum("__n").alias("__n"), F.min("__v").alias("__low"), F.max("__v").alias("__high"))
-        .withColumns(
-            {
-                "__total": F.sum("__n").over(whole),
-                "__before": F.sum("__n").over(upto) - F.col("__n"),
-            }
-        )
-    )
-    fractions = F.array(*[F.lit(float(p)) for p in percentiles.values()])
-    last_rank = F.col("__total") - 1
-    ranks = F.array_distinct(
-        F.concat(
-            F.transform(fractions, lambda p: F.floor(p * last_rank)),
-            F.transform(fractions, lambda p: F.ceil(p * last_rank)),
-        )
-    )
-
-    def held(start: str) -> Column:
-        return F.filter(ranks, lambda r: (r >= F.col(start)) & (r < F.col(start) + F.col("__n")))
-
-    needed = bands.where(F.size(held("__before")) > 0).select(
-        *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)],
-        F.col("__band").alias("__kband"),
-        "__before",
-        "__total",
-        "__low",
-        "__high",
-    )
-    on = F.col("__band") == F.col("__kband")
-    for i, k in enumerate(keys):
-        on = on & (F.col(k) == F.col(f"__k{i}"))
-    width = F.col("__high") - F.col("__low")
-    part = F.coalesce(F.floor(F.try_divide(F.col("__v") - F.col("__low"), width) * _PARTS), F.lit(0))
-    ranked = running_totals(
-        counts.join(needed, on, "inner"),
-        {"__upto": F.col("__n")},
-        order=[F.col("__v")],
-        bucket=part,
-        group=[*keys, "__band"],
-    ).withColumn("__start", F.col("__before") + F.col("__upto") - F.col("__n"))
-    # At most two ranks per percentile and key are left to gather.
-    at_rank = F.map_from_entries(F.collect_list(F.struct("__rank", "__v")))
-    picked = (
-        ranked.select(*keys, "__v", "__total", F.explode(held("__start")).alias("__rank"))
-        .groupBy(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)])
-        .agg(at_rank.alias("__at"), F.first("__total").alias("__total"))
-    )
+        present.groupBy(*keys, F.col(value).cast("double").alias("__v")).agg(F.count(F.lit(1)).alias("__n"))
+    ).withColumn("__n", F.when(v.isNull(), 0).otherwise(n))
+    ranked = running_totals(counts, {"__upto": n}, [v.asc_nulls_first()], keys, part="__part")
+    last = F.col("__upto_all") - 1
+    start = F.col("__upto") - n
+    ranks = F.array_distinct(F.flatten(F.array(*[F.array(F.floor(p * last), F.ceil(p * last)) for p in map(float, percentiles.values())])))
+    held = F.filter(ranks, lambda r: (r >= start) & (r < F.col("__upto"))) if percentiles else F.array().cast("array<bigint>")
+    local = W.partitionBy("__part", *keys)
+    low = F.min("__v").over(local)
+    rows = ranked.withColumns({"__held": F.transform(held, lambda r: F.struct(r.alias("rank"), v.alias("v"))), "__low": low})
+    rows = rows.withColumn("__mean", F.try_divide(F.sum((v - F.col("__low")) * n).over(local), F.sum(n).over(local)))
+    away = v - F.col("__low") - F.col("__mean")
+    # moments about the partition's own mean, and that mean as a distance from its least value: large values lose no digits
+    parts = rows.groupBy("__part", *keys).agg(
+        F.sum("__n").alias("n"), F.sum(v * n).alias("s"), F.max("__mean").alias("m"), F.sum(away * away * n).alias("q"),
+        F.min("__v").alias("min"), F.max("__v").alias("max"),
+        F.flatten(F.collect_list(F.when(F.size("__held") > 0, F.col("__held")))).alias("held"),
+    )
+    # as many structs as a key has partitions, and two values a percentile
+    whole = parts.groupBy(*keys).agg(
+        F.sum("n").alias("count"), F.sum("s").alias("__s"), F.min("min").alias("min"), F.max("max").alias("max"),
+        F.collect_list(F.when(F.col("n") > 0, F.struct("n", "m", "q", "min"))).alias("__parts"),
+        F.map_from_entries(F.flatten(F.collect_list("held"))).alias("__at"),
+    )
+    whole = whole.withColumn("mean", F.try_divide(F.col("__s"), F.col("count")))
+    from_least = F.transform("__parts", lambda x: F.struct(x["n"], x["q"], (x["min"] - F.col("min") + x["m"]).alias("m")))
+    whole = whole.withColumn("__parts", from_least)
+    mean = F.try_divide(F.aggregate("__parts", F.lit(0.0), lambda t, x: t + x["n"] * x["m"]), F.col("count"))
+    whole = whole.withColumn("__mean", mean)
+    squares = F.aggregate("__parts", F.lit(0.0), lambda t, x: t + x["q"] + x["n"] * (x["m"] - F.col("__mean")) * (x["m"] - F.col("__mean")))
+    whole = whole.withColumn("std", F.when(F.col("count") > 1, F.sqrt(squares / (F.col("count") - 1))))
 
     def interpolated(p: float) -> Column:
-        position = F.lit(float(p)) * last_rank
+        position = F.lit(p) * (F.col("count") - 1)
+        share = position - F.floor(position)
         low, high = F.col("__at")[F.floor(position)], F.col("__at")[F.ceil(position)]
-        return low + (high - low) * (position - F.floor(position))
+        between = F.when(F.abs(high - low) < float("inf"), low + (high - low) * share).otherwise(low * (1 - share) + high * share)
+        return F.when((share == 0) | (low == high), low).otherwise(between)
 
-    parts = picked.select(
-        *[f"__k{i}" for i in range(len(keys))],
-        *[interpolated(p).alias(name) for name, p in percentiles.items()],
-    )
-    same: Column = F.lit(True)
-    for i, k in enumerate(keys):
-        same = same & (F.col(k) == F.col(f"__k{i}"))
-    return moments.join(parts, same, "left").drop(*[f"__k{i}" for i in range(len(keys))])
+    shown = [interpolated(float(p)).alias(name) for name, p in percentiles.items()]
+    return whole.select(*keys, "mean", "count", "std", "min", "max", *shown)
 
 
 def _percentile_columns(percentiles: Sequence[int]) -> dict[str, float]:
@@ -163,11 +90,9 @@ def metric_profile(
     keys: Sequence[str],
     value: str = "MEASURED_VALUE",
     percentiles: Sequence[int] = PERCENTILES,
-    group_limit: int = GROUP_LIMIT,
 ) -> DataFrame:
     """A3: mean, count, standard deviation and percentiles of the value per key."""
-    columns = _percentile_columns(percentiles)
-    return distribution(df, keys, value, columns, group_limit).drop("min", "max")
+    return distribution(df, keys, value, _percentile_columns(percentiles)).drop("min", "max")
 
 
 def at_levels(df: DataFrame, levels: Mapping[str, str] = LEVELS, value: str = "MEASURED_VALUE") -> DataFrame:

@@ -32,22 +32,12 @@ def pivot_series(
     return rows.groupBy(*group, at.alias("time")).agg(F.array(*cells).alias("values"))
 
 
-def number_steps(
-    series: DataFrame, group: Sequence[str] = (), time: str = "time", chunk: int = 86400
-) -> DataFrame:
+def number_steps(series: DataFrame, group: Sequence[str] = (), time: str = "time") -> DataFrame:
     """Number the steps of each series from 0 (``step``) and add its length (``n_steps``).
 
-    Times of one series must differ. Steps are counted inside chunks of time and the chunks'
-    counts are added up, so a long series is not sorted in one task. Both need the series, which
-    is therefore written once.
+    Times of one series must differ. A NULL group is a series like others.
     """
-    counted = running_totals(
-        settle(series),
-        {"__step": F.lit(1)},
-        order=[F.col(time)],
-        bucket=F.floor(F.col(time) / chunk),
-        group=group,
-    )
+    counted = running_totals(settle(series), {"__step": F.lit(1)}, [F.col(time)], group)
     return counted.withColumns(
         {"step": F.col("__step") - 1, "n_steps": F.col("__step_all")}
     ).drop("__step", "__step_all")

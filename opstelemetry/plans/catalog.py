@@ -156,7 +156,7 @@ def metric_profile_lineitem(spark: SparkSession, sf: str) -> DataFrame:
 
 def metric_profile_split(spark: SparkSession, sf: str) -> DataFrame:
     lines = stand_in(spark, sf).table("lineitem")
-    return rounded(D.metric_profile(lines, ["l_returnflag"], "l_extendedprice", group_limit=0))
+    return rounded(D.metric_profile(lines, ["l_returnflag"], "l_extendedprice"))
 
 
 def metric_profile_levels(spark: SparkSession, sf: str) -> DataFrame:

@@ -26,6 +26,14 @@ def spark():
     session.stop()
 
 
+@pytest.fixture()
+def many_parts(spark):
+    """Small tables keep all their shuffle partitions."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 def rows(df, *columns):
     """Rows as sorted tuples, of the given columns."""
     return sorted((tuple(r) for r in df.select(*columns).collect()), key=repr)

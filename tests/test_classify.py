@@ -74,6 +74,18 @@ def test_curve(spark):
     assert C.average_precision(df).first()[0] == pytest.approx(area)
 
 
+def test_curve_of_any_score(spark):
+    inf, nan = float("inf"), float("nan")
+    schema = "label int, p_incident double"
+    df = spark.createDataFrame([(1, inf), (0, nan), (1, 0.5), (1, -inf), (0, 0.5), (1, None)], schema)
+    got = [tuple(r)[:3] for r in C.pr_curve(df).orderBy(F.desc("threshold")).collect()]
+    want = [(nan, 0.0, 0.0), (inf, 0.5, 0.25), (0.5, 0.5, 0.5), (-inf, 0.6, 0.75)]
+    assert repr(got) == repr(want)
+    assert C.pr_curve(df.limit(0)).collect() == [] and C.average_precision(df.limit(0)).first()[0] is None
+    none = C.pr_curve(spark.createDataFrame([(0, 0.5)], schema)).first()
+    assert (none["precision"], none["recall"]) == (0.0, None)
+
+
 def test_weeks(spark):
     week = spark.range(600).select(
         F.col("id").alias("POLLER_TIME"), F.lit(1.0).alias("MEASURED_VALUE"), F.lit("b").alias("NEW_BUS_ID"),

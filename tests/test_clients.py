@@ -43,13 +43,25 @@ def test_top_talkers_bounds_and_ties(spark):
     assert got == [("b", 2), ("c", 2)]
 
 
-def test_running_totals_per_group(spark):
-    data = [(g, x) for g in "ab" for x in random.Random(2).sample(range(1000), 200)]
-    df = spark.createDataFrame(data, "g string, x int")
-    got = running_totals(
-        df, {"n": F.lit(1), "s": F.col("x")}, order=[F.col("x")], bucket=F.floor(F.col("x") / 50), group=["g"]
-    )
-    for g in "ab":
+def test_running_totals_per_group(spark, many_parts):
+    data = [(g, x) for g in ("a", "b", None) for x in random.Random(2).sample(range(1000), 200)]
+    data += [("hot", x) for x in range(20_000)]
+    df = spark.createDataFrame(data, "g string, x int").repartition(5)
+    got = running_totals(df, {"n": F.lit(1), "s": F.col("x")}, order=[F.col("x")], group=["g"], part="p")
+    assert got.where("g = 'hot'").select("p").distinct().count() > 1
+    for g in ("a", "b", None, "hot"):
         xs = sorted(x for key, x in data if key == g)
-        want = [(x, i + 1, sum(xs[: i + 1]), len(xs), sum(xs)) for i, x in enumerate(xs)]
-        assert rows(got.where(F.col("g") == g), "x", "n", "s", "n_all", "s_all") == sorted(want, key=repr)
+        want, upto = [], 0
+        for i, x in enumerate(xs):
+            upto += x
+            want.append((x, i + 1, upto, len(xs), sum(xs)))
+        assert rows(got.where(F.col("g").eqNullSafe(g)), "x", "n", "s", "n_all", "s_all") == sorted(want, key=repr)
+    assert running_totals(df.limit(0), {"n": F.lit(1)}, [F.col("x")]).collect() == []
+
+
+def test_rank_of_many_equal_counts(spark, many_parts):
+    counts = spark.range(5000).select(F.col("id").cast("string").alias("NEW_BUS_ID"), (F.col("id") % 2 + 1).alias("RECONCILIATION_NUM"))
+    got = K.client_rank(counts).orderBy("RANK").collect()
+    assert [r["RANK"] for r in got] == list(range(1, 5001))
+    assert [r["RECONCILIATION_NUM"] for r in got] == [2] * 2500 + [1] * 2500
+    assert got[-1]["CUMULATIVE_PERCENT"] == 100.0

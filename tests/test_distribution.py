@@ -16,9 +16,8 @@ def numpy_stats(values):
     return [np.mean(values), len(values), std, min(values), max(values), *[np.percentile(values, p * 100) for p in PS.values()]]
 
 
-@pytest.mark.parametrize("limit", [0, 500_000])
 @pytest.mark.parametrize("seed", [1, 2])
-def test_against_numpy(spark, seed, limit):
+def test_against_numpy(spark, many_parts, seed):
     rng = random.Random(seed)
     makers = {
         "one": lambda: 3.5,
@@ -31,7 +30,7 @@ def test_against_numpy(spark, seed, limit):
     data = [(k, make()) for k, make in makers.items() for _ in range(400 if k != "one" else 1)]
     rng.shuffle(data)
     df = spark.createDataFrame([*data, (None, 1.0), ("small", None)], "k string, v double").repartition(4)
-    got = {r["k"]: list(r)[1:] for r in D.distribution(df, ["k"], "v", PS, group_limit=limit).collect()}
+    got = {r["k"]: list(r)[1:] for r in D.distribution(df, ["k"], "v", PS).collect()}
     assert set(got) == set(makers)
     for k in makers:
         want = numpy_stats([v for key, v in data if key == k])
@@ -41,25 +40,58 @@ def test_against_numpy(spark, seed, limit):
             assert (g is None) == (w is None) and (w is None or g == pytest.approx(w, rel=rel, abs=1e-9)), k
 
 
-def test_bands_never_decrease(spark):
-    values = sorted([random.Random(5).uniform(-1e6, 1e6) for _ in range(2000)] + [0.0, -0.0, 1e-9, -1e-9, 1e300, -1e300])
-    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v double")
-    bands = [r[0] for r in df.select(D.value_band(F.col("v")), "i").orderBy("i").collect()]
-    assert bands == sorted(bands)
+ODD = [1.0, 2.0, 3.0, float("nan"), float("nan")]
+FAR = [float("-inf"), -1.0, 1.0, float("inf")]
+
+
+def test_odd_values_give_the_same_in_small_and_large_groups(spark, many_parts):
+    """600,000 rows, over many partitions, with the same values in the same shares."""
+    times = 120_000
+    small = [("odd", v) for v in ODD] + [("far", v) for v in FAR] + [("up", v) for v in (5.0, float("inf"))]
+    large = spark.createDataFrame([(f"large {k}", v) for k, v in small], "k string, v double").join(spark.range(times))
+    df = spark.createDataFrame(small, "k string, v double").unionByName(large.select("k", "v"))
+    ps = {"p0": 0.0, "p25": 0.25, "p50": 0.5, "p75": 0.75, "p100": 1.0}
+    got = {r["k"]: r for r in D.distribution(df, ["k"], "v", ps).collect()}
+    assert [got["odd"][c] for c in ("count", "max", "p0", "p25", "p50")] == [5, pytest.approx(float("nan"), nan_ok=True), 1.0, 2.0, 3.0]
+    assert [got["far"][c] for c in ("min", "max", "p0", "p50", "p100")] == [float("-inf"), float("inf"), float("-inf"), 0.0, float("inf")]
+    assert got["up"]["mean"] == got["up"]["p75"] == float("inf")
+    for k in ("odd", "far", "up"):
+        one, many = got[k], got[f"large {k}"]
+        assert many["count"] == times * one["count"]
+        for c in ("mean", "std", "min", "max", "p0", "p100"):
+            assert repr(one[c]) == repr(many[c]), (k, c)
+    # ranks lie inside runs of equal values there, so only these can be told beforehand
+    assert [got["large odd"][c] for c in ("p25", "p50")] == [2.0, 3.0] and got["large up"]["p25"] == 5.0
+
+
+def test_hot_group_and_input_read_once(spark, many_parts):
+    df = spark.range(300_000).select(F.when(F.col("id") % 3 > 0, "hot").otherwise(F.col("id").cast("string")).alias("k"), F.rand(1).alias("v"))
+    reads = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            reads.add(batch.num_rows)
+            yield batch
+
+    got = D.distribution(df.mapInArrow(counted, df.schema), ["k"], "v", {"p50": 0.5})
+    hot = got.where("k = 'hot'").first()
+    values = [r["v"] for r in df.where("k = 'hot'").select("v").collect()]
+    assert hot["count"] == 200_000 and hot["p50"] == pytest.approx(np.percentile(values, 50), rel=1e-12)
+    assert hot["std"] == pytest.approx(np.std(values, ddof=1), rel=1e-9)
+    assert reads.value == 300_000
 
 
 def test_group_of_one_and_null_key(spark):
     df = spark.createDataFrame([("a", 4.0), (None, 5.0)], "k string, MEASURED_VALUE double")
-    for limit in (0, 10):
-        got = D.metric_profile(df, ["k"], group_limit=limit).collect()
-        assert len(got) == 1 and got[0]["std"] is None and got[0]["percentile_99"] == 4.0
+    got = D.metric_profile(df, ["k"]).collect()
+    assert len(got) == 1 and got[0]["std"] is None and got[0]["percentile_99"] == 4.0
+    assert D.metric_profile(df.limit(0), ["k"]).collect() == []
 
 
 def test_group_without_values(spark):
     df = spark.createDataFrame([("a", 4.0), ("b", None)], "k string, MEASURED_VALUE double")
-    for limit in (0, 10):
-        got = rows(D.metric_profile(df, ["k"], group_limit=limit), "k", "count", "mean", "percentile_50")
-        assert got == [("a", 1, 4.0, 4.0), ("b", 0, None, None)]
+    got = rows(D.metric_profile(df, ["k"]), "k", "count", "mean", "percentile_50")
+    assert got == [("a", 1, 4.0, 4.0), ("b", 0, None, None)]
     series = spark.createDataFrame(
         [(0, "t", "m", 1.0), (3600, "t", "m", None), (0, "u", "m", 2.0)],
         "poller_time long, target_id string, metric_name string, measured_value double",
@@ -80,7 +112,7 @@ def test_profiles_of_all_levels(spark):
 
 def test_percentiles_rise(spark):
     df = spark.range(1000).select(F.lit("k").alias("k"), F.rand(3).alias("MEASURED_VALUE"))
-    row = D.metric_profile(df, ["k"], group_limit=0).first()
+    row = D.metric_profile(df, ["k"]).first()
     ps = [row[f"percentile_{p}"] for p in D.PERCENTILES]
     assert ps == sorted(ps)
 

@@ -7,7 +7,7 @@ from opstelemetry.operators import series as S
 
 def make(spark, n, groups=("g",)):
     data = [(g, 10 * i, [float(i), float(-i)]) for g in groups for i in range(n)]
-    return S.number_steps(spark.createDataFrame(data, "g string, time long, values array<double>"), ["g"], chunk=70)
+    return S.number_steps(spark.createDataFrame(data, "g string, time long, values array<double>"), ["g"])
 
 
 def test_pivot_stays_aligned(spark):
@@ -25,8 +25,8 @@ def test_window_counts(spark, n, windows):
 
 
 @pytest.mark.parametrize("block", [13, 17, 4096])
-def test_windows_across_blocks(spark, block):
-    steps = make(spark, 60, ("g", "h"))
+def test_windows_across_blocks(spark, many_parts, block):
+    steps = make(spark, 60, ("g", "h", None))
     got = S.forecast_windows(steps, ["g"], block=block).where("g = 'h'").orderBy("window").collect()
     assert [r.window for r in got] == list(range(48))
     for r in got:
