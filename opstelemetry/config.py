@@ -57,16 +57,19 @@ class Config:
     lookback: int = 10
     horizons: int = 3
     tolerance: float = 5.0
+    log_partitions: int | None = None
 
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime SQL settings the operators assume.
 
     Epochs are rendered and bucketed in UTC. Shuffle joins keep hot keys in check through
-    adaptive skew splitting, which is forced even where it costs an extra shuffle.
+    adaptive skew splitting, which is forced even where it costs an extra shuffle. Folder names of
+    laid-out tables stay text, so days compare as written.
     """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
+    spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
     return spark

@@ -2,18 +2,18 @@
 
 from __future__ import annotations
 
-import re
-from collections import Counter
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.linalg import VectorUDT
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opstelemetry.functions.scale import running_totals, scratch_root, settle
+from opstelemetry.functions.scale import lookup_join, new_folder, running_totals, scratch_root, settle
 from opstelemetry.operators.features import class_ratio, split
 from opstelemetry.operators.filters import feature_names
 
@@ -37,33 +37,15 @@ SINGLE_METRIC = ClassifierConfig(label="HAS_NEIGHBOR_INCIDENT", train_fraction=0
 HOURLY = ClassifierConfig(label="HAS_MAPPED_INCIDENT_MERGED")
 
 
-def align_features(df: DataFrame, names: list[str], label: str | None = None) -> DataFrame:
-    """Give another week the columns a model was trained on; absent ones become NULL."""
-    have = set(df.columns)
-    columns = [
-        F.col(n).cast("double").alias(n) if n in have else F.lit(None).cast("double").alias(n) for n in names
-    ]
-    if label is not None:
-        columns.append(F.col(label).cast("double").alias("label"))
-    return df.select(*columns)
-
-
-def _missing_stage(names: list[str]) -> SQLTransformer:
-    # MLlib's trees take no missing values: fill with 0 and say so in a second column.
-    parts = [
-        f"coalesce(`{n}`, 0D) AS `{n}__filled`, CAST(`{n}` IS NULL AS DOUBLE) AS `{n}__missing`"
-        for n in names
-    ]
-    return SQLTransformer(statement=f"SELECT *, {', '.join(parts)} FROM __THIS__")
-
-
 @dataclass(frozen=True)
 class Classifier:
-    """A fitted pipeline and the feature columns it reads."""
+    """A fitted pipeline, the feature columns it reads, and the sites its one-hot vector stands for."""
 
     pipeline: PipelineModel
     names: list[str]
+    vectors: list[str]
     label: str
+    sites: DataFrame | None = None
 
     @property
     def trees(self):
@@ -74,29 +56,90 @@ class Classifier:
         return self.pipeline.stages[-2].getInputCols()
 
     def save(self, path: str) -> None:
-        self.pipeline.write().overwrite().save(path)
+        """The pipeline and, where there is one, the site index, under one folder."""
+        self.pipeline.write().overwrite().save(f"{path}/pipeline")
+        if self.sites is not None:
+            self.sites.write.mode("overwrite").parquet(f"{path}/sites")
 
 
-def load_classifier(path: str, label: str) -> Classifier:
-    pipeline = PipelineModel.load(path)
+def load_classifier(spark: SparkSession, path: str, label: str) -> Classifier:
+    """A classifier saved by another run; its inputs tell which features it reads."""
+    pipeline = PipelineModel.load(f"{path}/pipeline")
     inputs = pipeline.stages[-2].getInputCols()
-    names = [c.removesuffix("__filled") for c in inputs if c.endswith("__filled")]
-    return Classifier(pipeline, names, label)
+    names = [c.removesuffix("__low") for c in inputs if c.endswith("__low")]
+    vectors = [c for c in inputs if not c.endswith(("__low", "__high"))]
+    sites = spark.read.parquet(f"{path}/sites") if vectors else None
+    return Classifier(pipeline, names, vectors, label, sites)
+
+
+def _is_vector(df: DataFrame, name: str) -> bool:
+    return isinstance(df.schema[name].dataType, VectorUDT)
+
+
+def align_features(df: DataFrame, model: Classifier) -> DataFrame:
+    """Give another week the columns a model was trained on; ``feature_report`` says what was changed.
+
+    Absent numbers become NULL, which goes the way that training chose for missing values; an absent
+    vector becomes one without a 1. Columns the model does not know are dropped.
+    """
+    have = set(df.columns)
+    columns = [F.col(n).cast("double").alias(n) if n in have else F.lit(None).cast("double").alias(n) for n in model.names]
+    columns.append(F.col(model.label).cast("double").alias("label"))
+    for v in model.vectors:
+        zeros = array_to_vector(F.array_repeat(F.lit(0.0), model.sites.count()))
+        columns.append(F.col(v) if v in have else zeros.alias(v))
+    return df.select(*columns)
+
+
+def feature_report(df: DataFrame, model: Classifier) -> DataFrame:
+    """(feature, status) of a week against a model: kept, filled (the week lacks it) or dropped (the model lacks it)."""
+    known, have = {*model.names, *model.vectors}, set(df.columns) - {model.label, "__draw"}
+    rows = [(n, "kept" if n in have else "filled") for n in sorted(known)]
+    rows += [(n, "dropped") for n in sorted(have - known)]
+    return df.sparkSession.createDataFrame(rows, "feature string, status string")
+
 
+def missing_stage(train: DataFrame, names: Sequence[str]) -> SQLTransformer:
+    """M6: two one-sided fills of every feature with missing values, so that each split learns a default direction.
 
-def fit_classifier(train: DataFrame, config: ClassifierConfig) -> Classifier:
+    ``<name>__low`` puts missing values below all known ones and ``<name>__high`` above: a split on the
+    first sends them left, on the second right, and the tree takes whichever gains more. Splitting
+    off exactly the missing ones is the first split of either. A feature that is always known in
+    training has one fill, and one that never is has none.
+    """
+    known = {n: F.when(~F.isnan(F.col(n).cast("double")), F.col(n).cast("double")) for n in names}
+    aggregates = [f(c).alias(f"__{k}_{i}") for i, c in enumerate(known.values()) for k, f in (("lo", F.min), ("hi", F.max), ("n", F.count))]
+    found = train.agg(F.count(F.lit(1)).alias("__rows"), *aggregates).first()
+    parts = []
+    for i, n in enumerate(names):
+        low, high = found[f"__lo_{i}"], found[f"__hi_{i}"]
+        if low is None:
+            continue
+        away = 1 + max(high - low, abs(low), abs(high))
+        value = f"nanvl(`{n}`, CAST(NULL AS DOUBLE))"
+        parts.append(f"coalesce({value}, {low - away!r}D) AS `{n}__low`")
+        if found[f"__n_{i}"] < found["__rows"]:
+            parts.append(f"coalesce({value}, {high + away!r}D) AS `{n}__high`")
+    return SQLTransformer(statement=f"SELECT *, {', '.join(parts)} FROM __THIS__" if parts else "SELECT * FROM __THIS__")
+
+
+def fit_classifier(train: DataFrame, config: ClassifierConfig, sites: DataFrame | None = None) -> Classifier:
     """M6: boosted trees with the incident class weighted by the noise ratio of the training rows."""
-    names = feature_names(train, config.label)
+    features = feature_names(train, config.label)
+    vectors = [n for n in features if _is_vector(train, n)]
+    names = [n for n in features if n not in vectors]
     ratio = class_ratio(train, config.label).first()["ratio"]
     if not ratio:
         raise ValueError("training rows must hold both classes")
-    rows = align_features(train, names, config.label).withColumn(
-        "weight", F.when(F.col("label") == 1, F.lit(float(ratio))).otherwise(1.0)
-    )
+    label = F.col(config.label).cast("double").alias("label")
+    rows = train.select(*[F.col(n).cast("double").alias(n) for n in names], *vectors, label)
+    rows = settle(rows.withColumn("weight", F.when(F.col("label") == 1, F.lit(float(ratio))).otherwise(1.0)))
     context = train.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(scratch_root(train.sparkSession))
-    inputs = [f"{n}__{kind}" for n in names for kind in ("filled", "missing")]
+    fills = missing_stage(rows, names)
+    inputs = [c for c in fills.transform(rows).columns if c.endswith(("__low", "__high"))] + vectors
+    names = [c.removesuffix("__low") for c in inputs if c.endswith("__low")]
     trees = GBTClassifier(
         featuresCol="features",
         labelCol="label",
@@ -108,13 +151,13 @@ def fit_classifier(train: DataFrame, config: ClassifierConfig) -> Classifier:
         seed=config.seed,
         checkpointInterval=10,
     )
-    stages = [_missing_stage(names), VectorAssembler(inputCols=inputs, outputCol="features"), trees]
-    return Classifier(Pipeline(stages=stages).fit(rows), names, config.label)
+    stages = [fills, VectorAssembler(inputCols=inputs, outputCol="features"), trees]
+    return Classifier(Pipeline(stages=stages).fit(rows), names, vectors, config.label, sites)
 
 
 def score(model: Classifier, df: DataFrame) -> DataFrame:
     """M7: label, prediction and probability of an incident."""
-    rows = model.pipeline.transform(align_features(df, model.names, model.label))
+    rows = model.pipeline.transform(align_features(df, model))
     return rows.select(
         F.col("label").cast("int").alias("label"),
         F.col("prediction").cast("int").alias("prediction"),
@@ -194,19 +237,58 @@ def evaluate_week(model: Classifier, week: DataFrame) -> DataFrame:
     return confusion(score(model, week))
 
 
-def train_and_test(df: DataFrame, config: ClassifierConfig) -> tuple[Classifier, DataFrame]:
+def train_and_test(df: DataFrame, config: ClassifierConfig, sites: DataFrame | None = None) -> tuple[Classifier, DataFrame]:
     """M5–M7: split, fit and score the held-out rows."""
     train, test = split(df, config.train_fraction, config.seed)
-    model = fit_classifier(train, config)
+    model = fit_classifier(train, config, sites)
     return model, score(model, test)
 
 
+def feature_slots(model: Classifier, spark: SparkSession) -> DataFrame:
+    """(slot, feature) of the model's input vector: a slot for each fill, and one for each site."""
+    plain = [c for c in model.inputs if c not in model.vectors]
+    slots = spark.createDataFrame(list(enumerate(plain)), "slot int, feature string")
+    for v in model.vectors:
+        named = F.concat(F.lit(f"{v.removesuffix('_HOT')}_"), F.col("site"))
+        slots = slots.unionByName(model.sites.select((F.col("index") + len(plain)).alias("slot"), named.alias("feature")))
+    return slots
+
+
+def tree_nodes(model: Classifier, spark: SparkSession) -> DataFrame:
+    """All trees as a table of nodes, read by Spark from the model's saved data.
+
+    tree, node, feature, threshold (rows up to it go to ``left``), gain, rows (of training that reach the
+    node), prediction, left, right; leaves have no feature, threshold, gain and children.
+    """
+    path = new_folder(spark, "trees")
+    model.trees.write().save(path)
+    node = spark.read.parquet(f"{path}/data").select(F.col("treeID").alias("tree"), "nodeData.*")
+    inner = F.col("leftChild") >= 0
+
+    def of_split(c: Column) -> Column:
+        return F.when(inner, c)
+
+    found = node.select(
+        "tree", F.col("id").alias("node"), of_split(F.col("split.featureIndex")).alias("__slot"),
+        of_split(F.col("split.leftCategoriesOrThreshold")[0]).alias("threshold"), of_split(F.col("gain")).alias("gain"),
+        F.col("rawCount").alias("rows"), "prediction", of_split(F.col("leftChild")).alias("left"), of_split(F.col("rightChild")).alias("right"),
+    )
+    named = lookup_join(found, feature_slots(model, spark), {"__slot": "slot"})
+    return named.select("tree", "node", "feature", "threshold", "gain", "rows", "prediction", "left", "right")
+
+
 def importance(model: Classifier, spark: SparkSession) -> DataFrame:
     """Per input, its share of impurity gain and the number of splits that use it."""
-    used = Counter(int(i) for i in re.findall(r"If \(feature (\d+) ", model.trees.toDebugString))
-    gains = model.trees.featureImportances.toArray()
-    rows = [(name, float(gains[i]), used[i]) for i, name in enumerate(model.inputs)]
-    return spark.createDataFrame(rows, "feature string, gain double, splits int")
+    gains = model.trees.featureImportances
+    weighed = [(int(i), float(g)) for i, g in zip(gains.indices, gains.values, strict=True)]
+    shares = spark.createDataFrame(weighed, "slot int, gain double")
+    splits = tree_nodes(model, spark).where("feature is not null").groupBy("feature").agg(F.count(F.lit(1)).alias("splits"))
+    return (
+        feature_slots(model, spark)
+        .join(shares, "slot", "left")
+        .join(splits, "feature", "left")
+        .select("feature", F.coalesce("gain", F.lit(0.0)).alias("gain"), F.coalesce("splits", F.lit(0)).alias("splits"))
+    )
 
 
 def dump_trees(model: Classifier) -> str:

@@ -130,25 +130,18 @@ def correlate(alarms: DataFrame, incidents: DataFrame, seconds: int = 14400) ->
 def flag_nearest(mapping: DataFrame) -> DataFrame:
     """Flag the nearest alarms of each (incident, device) in a given mapping.
 
-    Ties are all flagged. Alarms without an incident do not take part in the join, so their
-    common NULL key never gathers in one task.
+    Ties are all flagged. The mapping is evaluated once: it is settled without the keys of unmatched
+    alarms, so their common NULL never gathers in one task, the least distance of each key combines
+    before its shuffle, and the rows look it up.
     """
     matched = F.coalesce(F.col("SUBMIT_DATE_NUM") != 0, F.lit(False)) & F.col("INCIDENT_ID").isNotNull()
-    pairs = mapping.where(matched)
+    rows = settle(mapping.withColumn("__key", F.when(matched, F.col("INCIDENT_ID"))))
     nearest = (
-        pairs.groupBy("INCIDENT_ID", "RECON_ID")
+        rows.where(F.col("__key").isNotNull())
+        .groupBy(F.col("__key").alias("__incident"), F.col("RECON_ID").alias("__recon"))
         .agg(F.min("INC_EVENT_TIME_DIFF").alias("NEAREST_DIFF"))
-        .select(
-            F.col("INCIDENT_ID").alias("__incident"), F.col("RECON_ID").alias("__recon"), "NEAREST_DIFF"
-        )
     )
-    flagged = pairs.join(
-        nearest,
-        (F.col("INCIDENT_ID") == F.col("__incident")) & (F.col("RECON_ID") == F.col("__recon")),
-        "left",
-    ).drop("__incident", "__recon")
-    others = mapping.where(~matched).withColumn("NEAREST_DIFF", F.lit(None).cast("bigint"))
-    return _flag(flagged.unionByName(others))
+    return _flag(lookup_join(rows, settle(nearest), {"__key": "__incident", "RECON_ID": "__recon"}).drop("__key"))
 
 
 def neighbour_label(

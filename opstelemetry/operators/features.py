@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark.ml.feature import OneHotEncoder
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from opstelemetry.config import SPARSE_FEATURES, TARGET_METRICS, TRAINING_SITE_SPELLINGS
 from opstelemetry.functions.scalar import hour_bucket, hour_of, missing_as_null, weekday_of
-from opstelemetry.functions.scale import settle
+from opstelemetry.functions.scale import lookup_join, running_totals, settle
 from opstelemetry.operators.correlate import neighbour_label
 from opstelemetry.operators.filters import (
     all_null,
@@ -153,10 +154,13 @@ def hourly_training_set(
     incidents: DataFrame,
     metrics: Sequence[str] = TARGET_METRICS,
     seconds: int = 3600,
+    draw_seed: int | None = None,
 ) -> DataFrame:
-    """M2: labelled hourly aggregates with their hour and weekday."""
+    """M2: labelled hourly aggregates with their hour and weekday; with a seed, a draw by device, metric and hour."""
     wide = spread_stats(hourly_features(only(mapping, "METRIC_NAME", list(metrics)), incidents, seconds), metrics)
     start = F.col("POLLER_TIME_PERIOD_60_MIN") * F.lit(seconds)
+    if draw_seed is not None:
+        wide = with_draw(wide, _HOURLY_KEYS, draw_seed)
     return wide.withColumns({"WEEKDAY": weekday_of(start), "HOUR": hour_of(start)}).drop(
         *_HOURLY_KEYS, "MEAN", "MIN", "MAX"
     )
@@ -209,25 +213,32 @@ def neighbour_training_set(
     )
 
 
-def site_vocabulary(df: DataFrame, column: str = "SITE", limit: int = 10000) -> list[str]:
-    """The different sites in order. One column each is made of them, so too many is an error."""
-    found = df.where(F.col(column).isNotNull()).select(column).distinct().limit(limit + 1).collect()
-    if len(found) > limit:
-        raise ValueError(f"{column} has more than {limit} different values")
-    return sorted(row[column] for row in found)
+def site_index(df: DataFrame, column: str = "SITE") -> DataFrame:
+    """(site, index) of the different sites in order, from 0; a table of any length."""
+    names = settle(df.where(F.col(column).isNotNull()).select(F.col(column).alias("site")).distinct())
+    ranked = running_totals(names, {"__n": F.lit(1)}, [F.col("site")])
+    return settle(ranked.select("site", (F.col("__n") - 1).cast("int").alias("index")))
 
 
-def site_one_hot(df: DataFrame, vocabulary: Sequence[str], column: str = "SITE") -> DataFrame:
-    """A 0/1 column per known site in place of the site; an unknown or NULL site is all zeros."""
-    hot = {f"{column}_{v}": F.coalesce((F.col(column) == v).cast("int"), F.lit(0)) for v in vocabulary}
-    return df.withColumns(hot).drop(column) if hot else df.drop(column)
+def site_one_hot(df: DataFrame, sites: DataFrame, column: str = "SITE") -> DataFrame:
+    """A sparse 0/1 vector ``<column>_HOT`` in place of the site, with a slot for each known one.
 
-
-def clean_full(
-    df: DataFrame, vocabulary: Sequence[str] | None = None, drop_empty: bool = True
-) -> DataFrame:
-    """M3: all-metric training rows. Pass the first week's vocabulary to encode another week alike."""
-    sites = site_vocabulary(df) if vocabulary is None else vocabulary
+    A site that is not in the index, or NULL, has no 1. Without any site there is no vector.
+    """
+    count = sites.count()
+    if not count:
+        return df.drop(column)
+    rows = lookup_join(df, sites.select(F.col("site").alias("__site"), F.col("index").alias("__slot")), {column: "__site"})
+    rows = rows.withColumn("__slot", F.coalesce("__slot", F.lit(count)).cast("double")).drop(column)
+    # the slot after the last stands for "none" and is dropped from the vector
+    encoder = OneHotEncoder(inputCol="__slot", outputCol=f"{column}_HOT", dropLast=True, handleInvalid="keep")
+    model = encoder.fit(sites.select(F.col("index").cast("double").alias("__slot")))
+    return model.transform(rows).drop("__slot")
+
+
+def clean_full(df: DataFrame, sites: DataFrame | None = None, drop_empty: bool = True) -> DataFrame:
+    """M3: all-metric training rows. Pass the first week's site index to encode another week alike."""
+    sites = site_index(df) if sites is None else sites
     rows = all_null(df, SPARSE_FEATURES).drop("POLLER_TIME", "MEASURED_VALUE", "NEW_BUS_ID")
     rows = site_one_hot(rows, sites)
     return drop_null_columns(rows, "all") if drop_empty else rows
@@ -256,18 +267,25 @@ def class_ratio(df: DataFrame, label: str) -> DataFrame:
     return counts.withColumn("ratio", F.try_divide(F.col("noise"), F.col("incident")))
 
 
+def with_draw(df: DataFrame, keys: Sequence[str], seed: int = 7) -> DataFrame:
+    """Add ``__draw``, a number in [0, 1) that follows from the keys alone, the same in every run and layout."""
+    text = F.concat_ws("|", *[F.col(k).cast("string") for k in keys], F.lit(str(seed)))
+    return df.withColumn("__draw", F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("double") / float(1 << 32))
+
+
 def split(
     df: DataFrame, fraction: float = 0.67, seed: int = 7, keys: Sequence[str] | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """M5: random train/test split.
 
-    With ``keys`` the side of a row follows from a hash of them, the same in every run.
-    Without, each row draws its own side, so equal rows spread over both; the draw is written
-    once, and both sides read it back.
+    With ``keys``, or a ``__draw`` made of them earlier, the side of a row follows from a hash: rows
+    with equal keys go together and every run gives the same sides. Without, each row draws its own
+    side, so equal rows spread over both; the draw is written once, and both sides read it back.
     """
     if keys:
-        hashed = F.xxhash64(*[F.col(c) for c in keys], F.lit(seed))
-        drawn = df.withColumn("__draw", F.pmod(hashed, F.lit(1_000_000)) / F.lit(1_000_000))
+        drawn = with_draw(df, keys, seed)
+    elif "__draw" in df.columns:
+        drawn = df
     else:
         drawn = settle(df.withColumn("__draw", F.rand(seed)))
     train, test = F.col("__draw") < fraction, F.col("__draw") >= fraction

@@ -2,29 +2,29 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
-from pyspark.ml.functions import array_to_vector
-from pyspark.ml.regression import LinearRegression
-from pyspark.sql import DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from opstelemetry.functions.scalar import push_window
 
 
+REGULARISATIONS = (0.0, 0.01, 0.1, 1.0, 10.0)
+
+
 @dataclass(frozen=True)
 class Forecaster:
-    """One regression per device, over all devices' lagged values."""
+    """A linear model per device over all devices' lagged values: intercepts, and a row of weights for each."""
 
-    models: list
+    intercepts: list[float]
+    weights: list[list[float]]
     regularisation: float
 
 
-def _features(windows: DataFrame, column: str = "x") -> DataFrame:
-    return windows.withColumn("features", array_to_vector(F.flatten(column)))
-
-
 def complete(windows: DataFrame, horizons: int = 3) -> DataFrame:
     """Windows without a missing reading."""
     whole = ~F.exists(F.flatten("x"), lambda v: v.isNull())
@@ -33,35 +33,83 @@ def complete(windows: DataFrame, horizons: int = 3) -> DataFrame:
     return windows.where(whole)
 
 
-def fit_forecaster(windows: DataFrame, n_devices: int, regularisation: float = 0.0) -> Forecaster:
-    """Regress each device's next value on the lagged values of all devices."""
-    rows = _features(windows).select(
-        "features", *[F.col("y_1")[i].alias(f"target_{i}") for i in range(n_devices)]
-    )
-    rows = rows.persist()
-    try:
-        models = [
-            LinearRegression(
-                featuresCol="features",
-                labelCol=f"target_{i}",
-                predictionCol=f"p_{i}",
-                regParam=regularisation,
-            ).fit(rows)
-            for i in range(n_devices)
-        ]
-    finally:
-        rows.unpersist()
-    return Forecaster(models, regularisation)
+def _scatter(inputs: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Number, means and centred cross-products of the rows, merged batch by batch."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = (0, np.zeros(inputs), np.zeros((inputs, inputs)))
+        for batch in batches:
+            if "products" in batch.schema.names:
+                size = inputs * inputs
+                flat = [batch.column(c).flatten().to_numpy(zero_copy_only=False) for c in ("means", "products")]
+                parts = zip(batch.column("n").to_pylist(), flat[0].reshape(-1, inputs), flat[1].reshape(-1, size), strict=True)
+                merged = [(n, m, p.reshape(inputs, inputs)) for n, m, p in parts]
+            elif batch.num_rows:
+                rows = batch.column("row").flatten().to_numpy(zero_copy_only=False).reshape(-1, inputs)
+                means = rows.mean(axis=0)
+                merged = [(len(rows), means, (rows - means).T @ (rows - means))]
+            else:
+                merged = []
+            for part in merged:
+                total = _merged(total, part)
+        columns = [pa.array([total[0]]), pa.array([total[1].tolist()]), pa.array([total[2].reshape(-1).tolist()])]
+        yield pa.RecordBatch.from_arrays(columns, ["n", "means", "products"])
+
+    return run
+
+
+def _merged(one: tuple, two: tuple) -> tuple:
+    n = one[0] + two[0]
+    if not n:
+        return one
+    away = two[1] - one[1]
+    return n, one[1] + away * (two[0] / n), one[2] + two[2] + np.outer(away, away) * (one[0] * two[0] / n)
+
+
+def fit_path(
+    windows: DataFrame, n_devices: int, lookback: int, regularisations: Sequence[float] = REGULARISATIONS
+) -> list[Forecaster]:
+    """Regress each device's next value on the lagged values of all devices, for every ridge at once.
+
+    One pass over the windows: each partition returns the means and cross-products of inputs and targets
+    about its own means, which do not grow with the rows, and one task merges them. All devices and
+    all ridges are then solved from the same small matrix. Ridges weigh inputs of unit variance.
+    """
+    p = n_devices * lookback
+    rows = windows.select(F.concat(F.flatten("x"), "y_1").cast("array<double>").alias("row"))
+    kind = "n bigint, means array<double>, products array<double>"
+    parts = rows.mapInArrow(_scatter(p + n_devices), kind)
+    whole = parts.repartition(1).mapInArrow(_scatter(p + n_devices), kind).first()
+    if not whole["n"]:
+        raise ValueError("no complete window to learn from")
+    means = np.array(whole["means"])
+    products = np.array(whole["products"]).reshape(p + n_devices, -1) / whole["n"]
+    spread = np.sqrt(np.diag(products)[:p])
+    used = spread > 0
+    inner = products[:p, :p][np.ix_(used, used)] / np.outer(spread[used], spread[used])
+    outer = products[:p, p:][used] / spread[used][:, None]
+    out = []
+    for ridge in regularisations:
+        weights = np.zeros((p, n_devices))
+        weights[used] = np.linalg.lstsq(inner + ridge * np.eye(used.sum()), outer, rcond=None)[0] / spread[used][:, None]
+        out.append(Forecaster((means[p:] - means[:p] @ weights).tolist(), weights.T.tolist(), ridge))
+    return out
+
+
+def _predicted(model: Forecaster, x: str = "x") -> Column:
+    """The next step's values of all devices, as an array."""
+    flat = F.flatten(x)
+
+    def one(intercept: float, weights: list[float]) -> Column:
+        terms = F.zip_with(flat, F.array(*map(F.lit, weights)), lambda a, b: a * b)
+        return F.aggregate(terms, F.lit(intercept), lambda t, v: t + v)
+
+    return F.array(*[one(i, w) for i, w in zip(model.intercepts, model.weights, strict=True)])
 
 
 def predict_next(model: Forecaster, windows: DataFrame, name: str) -> DataFrame:
     """The next step's values of all devices, as an array column."""
-    keep = windows.columns
-    rows = _features(windows)
-    for one in model.models:
-        rows = one.transform(rows)
-    values = F.array(*[F.col(f"p_{i}") for i in range(len(model.models))])
-    return rows.select(*keep, values.alias(name))
+    return windows.withColumn(name, _predicted(model))
 
 
 def forecast_recursive(model: Forecaster, windows: DataFrame, steps: int = 3) -> DataFrame:
@@ -97,11 +145,14 @@ def mse(table: DataFrame) -> DataFrame:
     return table.groupBy("horizon").agg(F.avg(F.pow(F.col("predicted") - F.col("actual"), 2)).alias("mse"))
 
 
-def validation_error(model: Forecaster, windows: DataFrame) -> float:
-    """Mean squared error of the next step over all devices."""
-    rows = predict_next(model, windows, "pred_1")
-    errors = F.transform(F.arrays_zip("pred_1", "y_1"), lambda z: F.pow(z["pred_1"] - z["y_1"], 2))
-    return rows.select(F.explode(errors).alias("e")).agg(F.avg("e").alias("mse")).first()["mse"]
+def validation_errors(models: Sequence[Forecaster], windows: DataFrame) -> list[float | None]:
+    """Mean squared error of the next step over all devices, of every model in one pass."""
+
+    def squares(model: Forecaster) -> Column:
+        away = F.zip_with(_predicted(model), "y_1", lambda a, b: (a - b) * (a - b))
+        return F.aggregate(away, F.lit(0.0), lambda t, v: t + v) / F.size("y_1")
+
+    return list(windows.agg(*[F.avg(squares(m)).alias(f"e{i}") for i, m in enumerate(models)]).first())
 
 
 def best_model(metrics: DataFrame) -> DataFrame:
@@ -110,11 +161,18 @@ def best_model(metrics: DataFrame) -> DataFrame:
 
 
 def select_forecaster(
-    train: DataFrame, test: DataFrame, n_devices: int, regularisations: Sequence[float] = (0.0, 0.1, 1.0)
+    train: DataFrame,
+    test: DataFrame,
+    n_devices: int,
+    lookback: int = 10,
+    regularisations: Sequence[float] = REGULARISATIONS,
 ) -> tuple[Forecaster, DataFrame]:
-    """Fit candidates, keep the one with the least error on the held-out windows."""
-    candidates = [fit_forecaster(train, n_devices, r) for r in regularisations]
-    errors = [(i, float(validation_error(m, test))) for i, m in enumerate(candidates)]
+    """Fit a path of ridges, keep the one with the least error on the held-out windows.
+
+    Without a held-out window the first one is kept.
+    """
+    candidates = fit_path(train, n_devices, lookback, regularisations)
+    errors = list(enumerate(validation_errors(candidates, test)))
     metrics = train.sparkSession.createDataFrame(errors, "model_id int, mse double")
     best = best_model(metrics).first()["model_id"]
-    return candidates[best], metrics
+    return candidates[best or 0], metrics

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from opstelemetry.functions.scale import running_totals, settle
+from opstelemetry.functions.scale import in_order, running_totals, settle
 
 BLOCK_STEPS = 4096
 
@@ -43,6 +43,35 @@ def number_steps(series: DataFrame, group: Sequence[str] = (), time: str = "time
     ).drop("__step", "__step_all")
 
 
+def carry_forward(series: DataFrame, n_devices: int, group: Sequence[str] = (), time: str = "time") -> DataFrame:
+    """Fill each device's gaps with its last reading before; gaps before the first one stay.
+
+    The series is range-sorted, so a long one spreads over partitions. The last readings of a partition are
+    one row for each series in it; only a series that goes on in the next partition passes them on.
+    """
+    group, order = list(group), [*[F.col(g).asc_nulls_first() for g in group], F.col(time)]
+    rows = in_order(series, order)
+    reading = [F.col("values")[i] for i in range(n_devices)]
+    last = [F.max_by(v, F.when(v.isNotNull(), F.col("__at"))).alias(f"__l{i}") for i, v in enumerate(reading)]
+    ends = rows.groupBy("__part", *group).agg(*last)
+    parts = W.partitionBy(*group) if group else W.partitionBy(F.lit(0))
+    parts = parts.orderBy("__part")
+    before = parts.rowsBetween(W.unboundedPreceding, -1)
+    passed = ends.select(
+        F.col("__part").alias("__p"), *[F.col(g).alias(f"__g_{g}") for g in group], F.row_number().over(parts).alias("__nth"),
+        *[F.last(f"__l{i}", ignorenulls=True).over(before).alias(f"__b{i}") for i in range(n_devices)],
+    ).where("__nth > 1")
+    upto = W.partitionBy("__part", *group).orderBy("__at").rowsBetween(W.unboundedPreceding, 0)
+    local = rows.withColumns({f"__v{i}": F.last(v, ignorenulls=True).over(upto) for i, v in enumerate(reading)})
+    same = F.col("__part") == F.col("__p")
+    for g in group:
+        same = same & F.col(g).eqNullSafe(F.col(f"__g_{g}"))
+    # a row a partition at most
+    joined = local.join(F.broadcast(passed), same, "left")
+    filled = F.array(*[F.coalesce(f"__v{i}", f"__b{i}") for i in range(n_devices)])
+    return joined.withColumn("values", filled).select(*series.columns)
+
+
 def _with_halo(steps: DataFrame, before: int, after: int, block: int) -> DataFrame:
     """Each step in its own block, and again in the blocks whose edge it is near."""
     if max(before, after) >= block:

@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import cache
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opstelemetry import schemas
 from opstelemetry.functions.scalar import fmt_time, hour_bucket, hour_of, weekday_of
 from opstelemetry.functions.scalar import push_window as push
-from opstelemetry.functions.scale import scratch_root, settle
+from opstelemetry.functions.scale import new_folder, settle
 from opstelemetry.operators import classify as C
 from opstelemetry.operators import clients as K
 from opstelemetry.operators import correlate as R
@@ -20,7 +22,8 @@ from opstelemetry.operators import features as X
 from opstelemetry.operators import filters as P
 from opstelemetry.operators import forecast as T
 from opstelemetry.operators import series as S
-from opstelemetry.plans.analysis import forecast_wide, train_full, train_hourly, train_single
+from opstelemetry.plans.analysis import forecast_wide, score_other_week, train_full, train_hourly, train_single
+from opstelemetry.plans.etl import ParquetSink
 from opstelemetry.plans.standin import WINDOW_END, WINDOW_START, stand_in
 from opstelemetry.sources import readers, writers
 
@@ -29,9 +32,11 @@ Query = Callable[[SparkSession, str], DataFrame]
 EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
 # Spellings of the stand-in sites, one of them merged into another.
 SITE_SPELLINGS = {"NATION1": "NATION0", "NATION3": "NATION2"}
-SITES = tuple(f"NATION{i}" for i in range(25) if f"NATION{i}" not in SITE_SPELLINGS)
 HOUR = 3600
 SLOT = 4 * HOUR
+FINE_SLOT = 600
+# The events' month is cut into two training periods here (2024-01-16).
+SECOND_WEEK = 1705363200
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
@@ -247,16 +252,33 @@ def sparse_filter(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _weeks(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Two training periods, by time."""
+    rows = _training_rows(spark, sf)
+    return rows.where(F.col("POLLER_TIME") < SECOND_WEEK), rows.where(F.col("POLLER_TIME") >= SECOND_WEEK)
+
+
+@cache
+def _training_rows(spark: SparkSession, sf: str) -> DataFrame:
+    return settle(X.neighbour_training_set(stand_in(spark, sf).mapping, spellings=SITE_SPELLINGS))
+
+
+def _slot(vector: str) -> list[Column]:
+    """Where a one-hot vector has its 1, and its length."""
+    dense = vector_to_array(vector)
+    at = F.nullif(F.array_position(dense, 1.0), F.lit(0))
+    return [(at - 1).cast("bigint").alias("site_slot"), F.size(dense).alias("site_slots")]
+
+
 def single_metric_rows(spark: SparkSession, sf: str) -> DataFrame:
-    week = X.neighbour_training_set(stand_in(spark, sf).mapping, spellings=SITE_SPELLINGS)
-    rows = X.clean_single([week, week], "PctFree")
+    rows = X.clean_single(_weeks(spark, sf), "PctFree")
     return rows.withColumn("HAS_NEIGHBOR_INCIDENT", F.col("HAS_NEIGHBOR_INCIDENT").cast("int"))
 
 
 def full_feature_rows(spark: SparkSession, sf: str) -> DataFrame:
-    week = X.neighbour_training_set(stand_in(spark, sf).mapping, spellings=SITE_SPELLINGS)
-    rows = X.clean_full(week, SITES)
-    return rows.withColumn("HAS_NEIGHBOR_INCIDENT", F.col("HAS_NEIGHBOR_INCIDENT").cast("int"))
+    rows = X.clean_full(_training_rows(spark, sf))
+    rows = rows.withColumn("HAS_NEIGHBOR_INCIDENT", F.col("HAS_NEIGHBOR_INCIDENT").cast("int"))
+    return rows.select(*[c for c in rows.columns if c != "SITE_HOT"], *_slot("SITE_HOT"))
 
 
 def drop_null_columns(spark: SparkSession, sf: str) -> DataFrame:
@@ -288,15 +310,13 @@ def class_ratio(spark: SparkSession, sf: str) -> DataFrame:
 
 def site_one_hot(spark: SparkSession, sf: str) -> DataFrame:
     sites = P.with_clean_site(stand_in(spark, sf).device_location).select("RECONCILIATION_ID", "SITE")
-    return X.site_one_hot(sites, X.site_vocabulary(sites))
+    return X.site_one_hot(sites, X.site_index(sites)).select("RECONCILIATION_ID", *_slot("SITE_HOT"))
 
 
 def hash_split(spark: SparkSession, sf: str) -> DataFrame:
     train, test = X.split(stand_in(spark, sf).events_raw, 0.67, keys=["event_id"])
-    both = train.withColumn("part", F.lit("all")).unionByName(test.withColumn("part", F.lit("all")))
-    return both.groupBy("part").agg(
-        F.count(F.lit(1)).alias("n"), F.countDistinct("event_id").alias("ids")
-    )
+    both = train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
+    return both.select("event_id", "part")
 
 
 def device_extract(spark: SparkSession, sf: str) -> DataFrame:
@@ -424,7 +444,7 @@ def best_model(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _folder(spark: SparkSession, name: str) -> str:
-    return f"{scratch_root(spark)}/opstelemetry/{spark.sparkContext.applicationId}/{name}"
+    return new_folder(spark, name)
 
 
 def csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
@@ -434,11 +454,50 @@ def csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return readers.read_dimension(spark, path, schemas.CUSTOMER)
 
 
-def event_log_scan(spark: SparkSession, sf: str) -> DataFrame:
+def _log_files(spark: SparkSession, sf: str) -> str:
+    """The event log as gzip files, with a line of too few fields for each event of one k, and one of too many for another."""
     s = stand_in(spark, sf)
+    log = s.event_log
+    good = log.select(F.concat_ws(",", *log.columns).alias("line"))
+    short = s.events_raw.where("k = 13").select(F.concat(F.lit("cut,"), F.col("event_id").cast("string")).alias("line"))
+    long = s.events_raw.where("k = 14").select(F.concat(F.lit("long"), F.repeat(F.lit(",x"), 14)).alias("line"))
     path = _folder(spark, "event_log")
-    s.event_log.write.mode("overwrite").option("compression", "gzip").csv(path)
-    return readers.read_event_log(spark, path)
+    good.unionByName(short).unionByName(long).write.option("compression", "gzip").text(path)
+    return path
+
+
+def event_log_scan(spark: SparkSession, sf: str) -> DataFrame:
+    return readers.read_event_log(spark, _log_files(spark, sf), partitions=8)
+
+
+def event_log_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    lines = readers.scan_event_log(spark, _log_files(spark, sf), partitions=8)
+    per_file = readers.malformed_lines(lines).agg(F.sum("malformed").alias("all_files"))
+    counts = lines.where(F.col("_malformed").isNotNull()).groupBy(F.col("destination").alias("kind")).agg(F.count("_malformed").alias("n"))
+    return counts.join(F.broadcast(per_file))  # one row
+
+
+def etl_lookup(spark: SparkSession, sf: str) -> DataFrame:
+    """Two metrics in ten days of the laid-out events table."""
+    sink = ParquetSink(_folder(spark, "etl"))
+    sink.put(stand_in(spark, sf).enriched, "events", "append", None)
+    found = readers.read_clustered(spark, f"{sink.root}/events", ["utilization", "used"], "2024-01-05", "2024-01-14")
+    return found.select("METRIC_NAME", "CORE_DAY", "CORE_TIME", "RECON_ID", "MEASURED_VALUE")
+
+
+def appended_table(spark: SparkSession, sf: str) -> DataFrame:
+    """Two periods of incidents appended to one typed table."""
+    incidents = stand_in(spark, sf).incidents
+    path = _folder(spark, "appended")
+    early = F.col("SUBMIT_DATE_NUM") < SECOND_WEEK
+    for part in (incidents.where(early), incidents.where(~early)):
+        writers.write_table(part, path, "append", schemas.INCIDENT_COLUMN_TYPES)
+    return stamp(readers.read_table(spark, path))
+
+
+def metric_subset(spark: SparkSession, sf: str) -> DataFrame:
+    rows = readers.metric_subset(stand_in(spark, sf).enriched, ["utilization", "used", "absent"])
+    return rows.select("METRIC_NAME", "RECON_ID", "CORE_TIME", "MEASURED_VALUE")
 
 
 def clustered_table(spark: SparkSession, sf: str) -> DataFrame:
@@ -455,8 +514,8 @@ def profile_files(spark: SparkSession, sf: str) -> DataFrame:
     writers.write_profiles(D.metric_profiles(s.enriched, spellings=SITE_SPELLINGS), path)
     rows = spark.read.option("header", True).csv(path)
     return rounded(rows.select(
-        "METRIC_NAME", "level", "group_key",
-        F.col("count").cast("bigint").alias("count"), F.col("mean").cast("double").alias("mean"),
+        "METRIC_NAME", "level", "group_key", F.col("count").cast("bigint").alias("count"),
+        *[F.col(c).cast("double").alias(c) for c in ("mean", "std", *[f"percentile_{p}" for p in D.PERCENTILES])],
     ))
 
 
@@ -500,44 +559,105 @@ def feature_files(spark: SparkSession, sf: str) -> DataFrame:
 # -- learning ------------------------------------------------------------------------------
 
 
-def _week(spark: SparkSession, sf: str) -> DataFrame:
-    return settle(X.neighbour_training_set(stand_in(spark, sf).mapping, spellings=SITE_SPELLINGS))
+@cache
+def _full_model(spark: SparkSession, sf: str) -> tuple[C.Classifier, DataFrame, DataFrame]:
+    """The all-metric classifier, its scored hold-out and its confusion table of the second period, trained once a session."""
+    week, other = _weeks(spark, sf)
+    model, scored, _ = train_full(week)
+    path = new_folder(spark, "model")
+    model.save(path)
+    # the other period is scored by a model that another run has saved
+    return model, settle(scored), settle(score_other_week(C.load_classifier(spark, path, model.label), other))
+
+
+@cache
+def _single_scored(spark: SparkSession, sf: str) -> DataFrame:
+    return settle(train_single(_weeks(spark, sf))[1])
 
 
-def _trees(config: C.ClassifierConfig, trees: int = 10) -> C.ClassifierConfig:
-    return C.ClassifierConfig(**{**config.__dict__, "trees": trees})
+@cache
+def _hourly_scored(spark: SparkSession, sf: str) -> DataFrame:
+    s = stand_in(spark, sf)
+    return settle(train_hourly(settle(s.mapping), s.incidents)[1])
 
 
 def gbt_confusion(spark: SparkSession, sf: str) -> DataFrame:
-    week = _week(spark, sf)
-    _, scored, other = train_full(week, week, _trees(C.FULL_FEATURES))
-    return C.confusion(scored).withColumn("part", F.lit("hold-out")).unionByName(
-        other.withColumn("part", F.lit("other week"))
-    )
+    _, scored, other = _full_model(spark, sf)
+    return C.confusion(scored).withColumn("part", F.lit("hold-out")).unionByName(other.withColumn("part", F.lit("other week")))
 
 
 def gbt_single_metric(spark: SparkSession, sf: str) -> DataFrame:
-    _, scored = train_single([_week(spark, sf)], "PctFree", _trees(C.SINGLE_METRIC))
-    return C.confusion_metrics(scored)
+    return C.confusion_metrics(_single_scored(spark, sf))
 
 
 def gbt_hourly(spark: SparkSession, sf: str) -> DataFrame:
-    s = stand_in(spark, sf)
-    _, scored = train_hourly(settle(s.mapping), s.incidents, _trees(C.HOURLY))
-    return C.confusion_metrics(scored)
+    return C.confusion_metrics(_hourly_scored(spark, sf))
+
+
+def learner_totals(spark: SparkSession, sf: str) -> DataFrame:
+    """Scored rows per learner, part and true class; the predictions are those of the three queries before."""
+    single, hourly = C.confusion(_single_scored(spark, sf)), C.confusion(_hourly_scored(spark, sf))
+    cells = gbt_confusion(spark, sf).withColumn("learner", F.lit("all metrics"))
+    cells = cells.unionByName(single.withColumns({"learner": F.lit("one metric"), "part": F.lit("hold-out")}))
+    cells = cells.unionByName(hourly.withColumns({"learner": F.lit("hourly"), "part": F.lit("hold-out")}))
+    return cells.groupBy("learner", "part", "label").agg(F.sum("n").alias("n"))
 
 
 def importance(spark: SparkSession, sf: str) -> DataFrame:
-    week = X.clean_full(_week(spark, sf))
-    return C.importance(C.fit_classifier(week, _trees(C.FULL_FEATURES)), spark)
+    return C.importance(_full_model(spark, sf)[0], spark)
+
+
+def tree_leaf_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Training rows that reach the leaves of each tree, and the nodes that are neither leaf nor parent of two."""
+    nodes = C.tree_nodes(_full_model(spark, sf)[0], spark)
+    leaf = F.col("feature").isNull()
+    return nodes.groupBy("tree").agg(
+        F.sum(F.when(leaf, F.col("rows"))).alias("rows"),
+        (F.count_if(leaf) - F.count_if(~leaf)).alias("leaves_beyond_splits"),
+    )
 
 
 def recursive_forecast(spark: SparkSession, sf: str) -> DataFrame:
-    wide = S.pivot_series(stand_in(spark, sf).device_series(SLOT), EVENT_TYPES, group=["shard"])
-    result = forecast_wide(wide, len(EVENT_TYPES), ["shard"], train_fraction=0.8)
+    wide = S.pivot_series(stand_in(spark, sf).device_series(FINE_SLOT), EVENT_TYPES, group=["shard"])
+    result = forecast_wide(wide, len(EVENT_TYPES), ["shard"], gaps="carry")
     return T.compare_table(result.forecasts, 3, group=["shard"])
 
 
+def forecast_targets(spark: SparkSession, sf: str) -> DataFrame:
+    """What the forecasts of the query before are held against: the held-out windows' real values."""
+    return rounded(recursive_forecast(spark, sf).select("shard", "window", "horizon", "actual"))
+
+
+def carried_series(spark: SparkSession, sf: str) -> DataFrame:
+    wide = S.pivot_series(stand_in(spark, sf).device_series(FINE_SLOT), EVENT_TYPES, group=["shard"])
+    return rounded(S.carry_forward(wide, len(EVENT_TYPES), ["shard"]).select("shard", "time", *_elements("values")))
+
+
+def one_lag_regression(spark: SparkSession, sf: str) -> DataFrame:
+    """Each event type's next value on its last one alone."""
+    out = None
+    for kind in EVENT_TYPES:
+        wide = S.pivot_series(stand_in(spark, sf).device_series(HOUR), [kind], group=["shard"])
+        windows = S.forecast_windows(S.number_steps(wide, ["shard"]), ["shard"], lookback=1, horizons=1)
+        (model,) = T.fit_path(T.complete(windows, 1), 1, 1, [0.0])
+        row = spark.createDataFrame([(kind, model.intercepts[0], model.weights[0][0])], "device string, intercept double, slope double")
+        out = row if out is None else out.unionByName(row)
+    return rounded(out)
+
+
+def zero_values(spark: SparkSession, sf: str) -> DataFrame:
+    """Values in steps of fifty, of which the lowest step is 0 and so lost."""
+    rows = P.valid_values(stand_in(spark, sf).enriched)
+    steps = rows.withColumn("MEASURED_VALUE", F.floor(F.col("MEASURED_VALUE") / 50) * 50.0)
+    return X.spread_values(steps, ["utilization", "used"]).select(
+        "TARGET_ID", "POLLER_TIME", "METRIC_NAME", "NEW_BUS_ID", "MEASURED_VALUE", "utilization_VALUE", "used_VALUE"
+    )
+
+
+def top_customers(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(K.top_clients(customer_order_rank(spark, sf), 150))
+
+
 def queries() -> dict[str, Query]:
     listed: Sequence[Query] = (
         policy_alarm_filter, site_clean, incident_window, enrich_chain, top_client_or_join,
@@ -552,6 +672,7 @@ def queries() -> dict[str, Query]:
         average_precision, tolerance_accuracy, best_model, csv_roundtrip, event_log_scan,
         clustered_table, profile_files, typed_table, series_files, header_series_files, log_extract,
         metric_lookup, feature_files, gbt_confusion, gbt_single_metric, gbt_hourly,
-        importance, recursive_forecast,
+        importance, recursive_forecast, event_log_rejects, etl_lookup, appended_table, metric_subset, learner_totals,
+        tree_leaf_rows, forecast_targets, carried_series, one_lag_regression, zero_values, top_customers,
     )
     return {q.__name__: q for q in listed}

@@ -294,6 +294,62 @@ def _pairs_of_steps() -> str:
         FROM steps WINDOW w AS (PARTITION BY shard ORDER BY time)) WHERE step < n_steps - 2"""
 
 
+# The second training period begins here (2024-01-16).
+SECOND_WEEK = 1705363200
+_SPARSE = """"LDldDiskTimePercent_VALUE" IS NULL AND "LDldFreeSpacePct_VALUE" IS NULL AND "UsedMBPct_VALUE" IS NULL"""
+
+
+def _draw(*keys: str) -> str:
+    """A number in [0, 1) from the keys' MD5."""
+    return f"(('0x' || substr(md5(concat_ws('|', {', '.join(keys)}, '7')), 1, 8))::BIGINT / 4294967296.0)"
+
+
+def _learner_totals() -> str:
+    draw = _draw("POLLER_TIME", "NEW_BUS_ID", "SITE")
+    hour = _draw("RECON_ID", "METRIC_NAME", "POLLER_TIME_PERIOD_60_MIN")
+    return f"""
+        SELECT learner, part, label, sum(n)::BIGINT AS n FROM (
+          SELECT 'all metrics' AS learner, CASE WHEN POLLER_TIME < {SECOND_WEEK} THEN 'hold-out' ELSE 'other week' END AS part,
+                 HAS_NEIGHBOR_INCIDENT AS label, 1 AS n
+          FROM training WHERE {_SPARSE} AND (POLLER_TIME >= {SECOND_WEEK} OR {draw} >= 0.67)
+          UNION ALL
+          SELECT 'one metric', 'hold-out', HAS_NEIGHBOR_INCIDENT, 1 FROM training WHERE "PctFree_VALUE" IS NOT NULL AND {draw} >= 0.8
+          UNION ALL
+          SELECT 'hourly', 'hold-out', HAS_MAPPED_INCIDENT_MERGED, 1 FROM hourly_stats WHERE {hour} >= 0.67
+          UNION ALL
+          SELECT l, p, c, 0 FROM (SELECT unnest([0, 1]) AS c),
+            (SELECT 'all metrics' AS l, 'hold-out' AS p UNION ALL SELECT 'all metrics', 'other week'
+             UNION ALL SELECT 'one metric', 'hold-out' UNION ALL SELECT 'hourly', 'hold-out'))
+        GROUP BY ALL"""
+
+
+def _fine_steps() -> str:
+    """Ten-minute slots with every device's last reading."""
+    values = ", ".join(
+        f"last_value(avg(CASE WHEN event_type = '{e}' THEN value END) IGNORE NULLS) OVER "
+        f"(PARTITION BY user_id % 3 ORDER BY t // 600 ROWS UNBOUNDED PRECEDING) AS v_{i}"
+        for i, e in enumerate(EVENT_TYPES)
+    )
+    return f"SELECT user_id % 3 AS shard, t // 600 * 600 AS time, {values} FROM ev GROUP BY user_id % 3, t // 600"
+
+
+def _forecast_targets() -> str:
+    """Windows of ten steps inside the last hundredth of each shard, and one device's next three values."""
+    whole = " AND ".join(
+        f"count({v}) OVER (PARTITION BY shard ORDER BY time ROWS BETWEEN 9 PRECEDING AND 3 FOLLOWING) = 13" for v in _V
+    )
+    ahead = ", ".join(f"lead(v_3, {h}) OVER (PARTITION BY shard ORDER BY time) AS y{h}" for h in (1, 2, 3))
+    return f"""
+        SELECT shard, w AS "window", horizon, round(CASE horizon WHEN 1 THEN y1 WHEN 2 THEN y2 ELSE y3 END + 1e-9, 6) AS actual
+        FROM (SELECT shard, step - 9 AS w, step, m, {ahead}, {whole} AS complete
+              FROM (SELECT *, row_number() OVER p - 1 AS step, count(*) OVER (PARTITION BY shard) AS m
+                    FROM (SELECT *, row_number() OVER p - 1 AS s, count(*) OVER (PARTITION BY shard) AS n
+                          FROM fine WINDOW p AS (PARTITION BY shard ORDER BY time))
+                    WHERE s >= floor(n * 0.99) WINDOW p AS (PARTITION BY shard ORDER BY time))),
+             (SELECT unnest([1, 2, 3]) AS horizon)
+        WHERE step >= 9 AND step + 3 < m AND complete"""
+
+
 def oracle_sql() -> dict[str, str]:
     mapping_columns = f"{_PAIR_COLUMNS}, MIN_DIFF, HAS_MAPPED_INCIDENT"
     neighbour_columns = """RECON_ID, METRIC_NAME, POLLER_TIME, NEW_BUS_ID, PARENT_TARGET_ID, INCIDENT_ID,
@@ -303,9 +359,6 @@ def oracle_sql() -> dict[str, str]:
     threshold = """SELECT target_id, metric_name, q3 + 1.5 * (q3 - q1) AS threshold
         FROM (SELECT target_id, metric_name, quantile_cont(max, 0.25) AS q1, quantile_cont(max, 0.75) AS q3
               FROM seasonal GROUP BY ALL)"""
-    sites = [f"NATION{i}" for i in range(25)]
-    site_hot = ", ".join(f"""CAST(SITE = '{x}' AS INTEGER) AS "SITE_{x}\"""" for x in sites)
-    merged = [x for x in sites if x not in ("NATION1", "NATION3")]
     return {
         "policy_alarm_filter": _sql(_LOG, """SELECT * FROM event_log
             WHERE policy_type = 'T' AND metric_name <> 'Started'
@@ -346,7 +399,7 @@ def oracle_sql() -> dict[str, str]:
             FROM lineitem GROUP BY 1""",
         "metric_profile_levels": _sql([*_ENRICHED, "valid"], _levels()),
         "profile_files": _sql([*_ENRICHED, "valid"],
-            f"SELECT METRIC_NAME, level, group_key, count, mean FROM ({_levels()})"),
+            f"SELECT * FROM ({_levels()})"),
         "seasonal_profile": _sql(["ev", "seasonal"], """SELECT target_id, metric_name, hour, dayofweek,
             round(mean + 1e-9, 6) AS mean, round(min + 1e-9, 6) AS min, round(max + 1e-9, 6) AS max, round(median + 1e-9, 6) AS median,
             round(q1 + 1e-9, 6) AS q1, round(q2 + 1e-9, 6) AS q2 FROM seasonal"""),
@@ -362,14 +415,14 @@ def oracle_sql() -> dict[str, str]:
             FROM neighbours GROUP BY idx, {neighbour_columns}"""),
         "neighbour_training_set": _sql([*_NEIGHBOURS, "training"], "SELECT * FROM training"),
         "single_metric_rows": _sql([*_NEIGHBOURS, "training"], """
-            SELECT HAS_NEIGHBOR_INCIDENT, "PctFree_VALUE" FROM (SELECT * FROM training UNION ALL SELECT * FROM training)
-            WHERE "PctFree_VALUE" IS NOT NULL"""),
+            SELECT HAS_NEIGHBOR_INCIDENT, "PctFree_VALUE" FROM training WHERE "PctFree_VALUE" IS NOT NULL"""),
         "full_feature_rows": _sql([*_NEIGHBOURS, "training"],
             'SELECT HAS_NEIGHBOR_INCIDENT, "dskPercent_VALUE", "utilization_VALUE", "PctTotal_VALUE", '
-            '"PctFree_VALUE", "used_VALUE", HOUR, WEEKDAY, '
-            + ", ".join(f"""coalesce(CAST(SITE = '{x}' AS INTEGER), 0) AS "SITE_{x}\"""" for x in merged)
-            + ' FROM training WHERE "LDldDiskTimePercent_VALUE" IS NULL '
-            'AND "LDldFreeSpacePct_VALUE" IS NULL AND "UsedMBPct_VALUE" IS NULL'),
+            '"PctFree_VALUE", "used_VALUE", HOUR, WEEKDAY, site_slot, '
+            "(SELECT count(DISTINCT SITE)::INTEGER FROM training) AS site_slots "
+            "FROM training LEFT JOIN (SELECT SITE, row_number() OVER (ORDER BY SITE) - 1 AS site_slot "
+            "FROM (SELECT DISTINCT SITE FROM training WHERE SITE IS NOT NULL)) USING (SITE) "
+            f"WHERE {_SPARSE}"),
         "hourly_features": _sql([*_MAPPING, "hourly", "hourly_stats"], "SELECT * FROM hourly_stats"),
         "hourly_spread": _sql([*_MAPPING, "hourly", "hourly_stats"], f"""
             SELECT COUNT, HAS_MAPPED_INCIDENT_MERGED, {_spread_stats()},
@@ -402,8 +455,9 @@ def oracle_sql() -> dict[str, str]:
             SELECT noise, incident, round(noise / incident + 1e-9, 6) AS ratio
             FROM (SELECT count(*) FILTER (HAS_MAPPED_INCIDENT_MERGED = 0) AS noise,
                          count(*) FILTER (HAS_MAPPED_INCIDENT_MERGED = 1) AS incident FROM hourly_stats)"""),
-        "site_one_hot": _sql(["device_location"], f"SELECT RECONCILIATION_ID, {site_hot} FROM device_location"),
-        "hash_split": "SELECT 'all' AS part, count(*) AS n, count(DISTINCT event_id) AS ids FROM events",
+        "site_one_hot": _sql(["device_location"], """SELECT RECONCILIATION_ID, dense_rank() OVER (ORDER BY SITE) - 1 AS site_slot,
+            (SELECT count(DISTINCT SITE)::INTEGER FROM device_location) AS site_slots FROM device_location"""),
+        "hash_split": f"SELECT event_id, CASE WHEN {_draw('event_id')} < 0.67 THEN 'train' ELSE 'test' END AS part FROM events",
         "device_extract": _sql(_LOG, """
             SELECT poller_time, target_id, measured_value, metric_name FROM event_log
             WHERE metric_name IN ('utilization', 'PctFree')
@@ -452,4 +506,32 @@ def oracle_sql() -> dict[str, str]:
             FROM steps WINDOW w AS (PARTITION BY shard ORDER BY time))
             WHERE step >= 9 AND step + 3 < n_steps"""),
         "typed_table": _sql(["ev", "incidents"], "SELECT * FROM incidents"),
+        "appended_table": _sql(["ev", "incidents"], "SELECT * FROM incidents"),
+        "event_log_rejects": _sql(["ev"], """SELECT kind, n, sum(n) OVER ()::BIGINT AS all_files FROM (
+            SELECT CASE k WHEN 13 THEN 'cut' ELSE 'long' END AS kind, count(*) AS n FROM ev WHERE k IN (13, 14) GROUP BY ALL)"""),
+        "etl_lookup": _sql(_ENRICHED, """SELECT METRIC_NAME, substr(CORE_TIMESTAMP, 1, 10) AS CORE_DAY, CORE_TIME, RECON_ID, MEASURED_VALUE
+            FROM enriched WHERE METRIC_NAME IN ('utilization', 'used')
+              AND substr(CORE_TIMESTAMP, 1, 10) BETWEEN '2024-01-05' AND '2024-01-14'"""),
+        "metric_subset": _sql(_ENRICHED, """SELECT METRIC_NAME, RECON_ID, CORE_TIME, MEASURED_VALUE
+            FROM enriched WHERE METRIC_NAME IN ('utilization', 'used')"""),
+        "learner_totals": _sql([*_NEIGHBOURS, "training", "hourly", "hourly_stats"], _learner_totals()),
+        "tree_leaf_rows": _sql([*_NEIGHBOURS, "training"], f"""
+            SELECT t::INTEGER AS tree, n AS rows, 1::BIGINT AS leaves_beyond_splits FROM range(100) r(t),
+              (SELECT count(*) AS n FROM training WHERE {_SPARSE} AND POLLER_TIME < {SECOND_WEEK}
+                 AND {_draw("POLLER_TIME", "NEW_BUS_ID", "SITE")} < 0.67)"""),
+        "carried_series": f"WITH ev AS ({CTES['ev']}), fine AS ({_fine_steps()}) SELECT shard, time, "
+            + ", ".join(f"round({v} + 1e-9, 6) AS values_{i}" for i, v in enumerate(_V)) + " FROM fine",
+        "forecast_targets": f"WITH ev AS ({CTES['ev']}), fine AS ({_fine_steps()}) {_forecast_targets()}",
+        "one_lag_regression": _sql(["ev"], """
+            SELECT event_type AS device, round(regr_intercept(y, x) + 1e-9, 6) AS intercept, round(regr_slope(y, x) + 1e-9, 6) AS slope
+            FROM (SELECT event_type, v AS x, lead(v) OVER (PARTITION BY event_type, shard ORDER BY slot) AS y
+                  FROM (SELECT event_type, user_id % 3 AS shard, t // 3600 AS slot, avg(value) AS v FROM ev GROUP BY ALL))
+            WHERE y IS NOT NULL GROUP BY event_type"""),
+        "zero_values": _sql([*_ENRICHED, "valid"], """
+            SELECT TARGET_ID, POLLER_TIME, METRIC_NAME, NEW_BUS_ID, m AS MEASURED_VALUE,
+                   CASE WHEN METRIC_NAME = 'utilization' THEN nullif(m, 0) END AS "utilization_VALUE",
+                   CASE WHEN METRIC_NAME = 'used' THEN nullif(m, 0) END AS "used_VALUE"
+            FROM (SELECT *, floor(MEASURED_VALUE / 50) * 50.0 AS m FROM valid)"""),
+        "top_customers": "SELECT * FROM (" + _rank(
+            "SELECT CAST(o_custkey AS VARCHAR) AS NEW_BUS_ID, count(o_orderkey) AS n FROM orders GROUP BY 1") + ") WHERE RANK <= 150",
     }

@@ -1,7 +1,10 @@
 from opstelemetry.sources.readers import (
     extract_devices,
     metric_samples,
+    good_lines,
+    malformed_lines,
     metric_subset,
+    read_clustered,
     read_dimension,
     read_event_log,
     read_features,
@@ -9,6 +12,7 @@ from opstelemetry.sources.readers import (
     read_jdbc_table,
     read_series,
     read_table,
+    scan_event_log,
 )
 from opstelemetry.sources.writers import (
     write_clustered,
@@ -21,7 +25,10 @@ from opstelemetry.sources.writers import (
 __all__ = [
     "extract_devices",
     "metric_samples",
+    "good_lines",
+    "malformed_lines",
     "metric_subset",
+    "read_clustered",
     "read_dimension",
     "read_event_log",
     "read_features",
@@ -29,6 +36,7 @@ __all__ = [
     "read_jdbc_table",
     "read_series",
     "read_table",
+    "scan_event_log",
     "write_clustered",
     "write_csv",
     "write_jdbc",

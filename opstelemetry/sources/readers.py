@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,27 +22,65 @@ def read_dimension(spark: SparkSession, path: str | Sequence[str], spec: Dimensi
     return raw.select(*[F.col(source).alias(name) for source, name in spec.columns])
 
 
-def read_event_log(
-    spark: SparkSession,
-    paths: str | Sequence[str],
-    header: bool = False,
-    partitions: int | None = None,
+def scan_event_log(
+    spark: SparkSession, paths: str | Sequence[str], header: bool = False, partitions: int | None = None
 ) -> DataFrame:
-    """Event logs with the fixed schema; malformed lines are dropped.
+    """Every line of the event logs: the fixed schema, ``_malformed`` and ``_file``.
 
-    Column pruning is off in the parser: with it, a line counts as malformed or not depending
-    on which columns a query happens to read. A gzip log is one task; ``partitions`` spreads
-    its rows before wide work.
+    ``_malformed`` holds the text of a line with too few or too many fields and is NULL for good ones.
+    Column pruning is off in the parser: with it, a line counts as malformed or not depending on which
+    columns a query happens to read. A gzip log is decoded by one task; ``partitions`` spreads its rows
+    directly after, before anything is computed on them.
     """
-    log = (
-        spark.read.schema(EVENT_LOG_SCHEMA)
+    # Spark refuses to read the text of malformed lines alone, as a count does; so it depends on a field.
+    with_field = F.octet_length(F.coalesce("destination", F.lit(""))) >= 0
+    schema = T.StructType([*EVENT_LOG_SCHEMA.fields, T.StructField("_malformed", T.StringType())])
+    lines = (
+        spark.read.schema(schema)
         .option("header", header)
-        .option("mode", "DROPMALFORMED")
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", "_malformed")
         .option("ignoreLeadingWhiteSpace", True)
         .option("columnPruning", False)
         .csv(paths)
+        .select(*EVENT_LOG_SCHEMA.names, F.when(with_field, F.col("_malformed")).alias("_malformed"), F.col("_metadata.file_path").alias("_file"))
+    )
+    return lines.repartition(partitions) if partitions else lines
+
+
+def _counts() -> list[Column]:
+    return [F.count(F.lit(1)).alias("lines"), F.count("_malformed").alias("malformed")]
+
+
+def line_counts(lines: DataFrame) -> dict[str, int]:
+    """``lines`` and how many of them are ``malformed``."""
+    return lines.agg(*_counts()).first().asDict()
+
+
+def good_lines(lines: DataFrame, counts: Observation | None = None) -> DataFrame:
+    """The well-formed events. ``counts`` receives the counts of lines from the same pass."""
+    if counts is not None:
+        lines = lines.observe(counts, *_counts())
+    return lines.where(F.col("_malformed").isNull()).drop("_malformed", "_file")
+
+
+def malformed_lines(lines: DataFrame) -> DataFrame:
+    """Per file, how many lines are malformed, and the first of their texts and of their first fields."""
+    bad = lines.where(F.col("_malformed").isNotNull())
+    return bad.groupBy("_file").agg(
+        F.count("_malformed").alias("malformed"), F.min("_malformed").alias("example"), F.min("destination").alias("first_field")
     )
-    return log.repartition(partitions) if partitions else log
+
+
+def read_event_log(
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    header: bool = False,
+    partitions: int | None = None,
+    counts: Observation | None = None,
+) -> DataFrame:
+    """Event logs with the fixed schema; malformed lines are left out, and counted where asked."""
+    return good_lines(scan_event_log(spark, paths, header, partitions), counts)
 
 
 def read_series(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
@@ -67,9 +105,10 @@ def extract_devices(
     paths: str | Sequence[str],
     device_ids: Sequence[str],
     header: bool = True,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Four columns of the event logs, for the listed devices only."""
-    log = read_event_log(spark, paths, header=header)
+    log = read_event_log(spark, paths, header=header, partitions=partitions)
     return log.where(F.col("target_id").isin(*[str(d) for d in device_ids])).select(
         "poller_time", "target_id", "measured_value", "metric_name"
     )
@@ -92,6 +131,25 @@ def read_table(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     return spark.read.parquet(*([path] if isinstance(path, str) else path))
 
 
+def read_clustered(
+    spark: SparkSession,
+    path: str,
+    metrics: Sequence[str] | None = None,
+    first_day: str | None = None,
+    last_day: str | None = None,
+    day: str = "CORE_DAY",
+) -> DataFrame:
+    """A table laid out by metric and day; only the folders asked for are listed and read."""
+    table = spark.read.parquet(path)
+    if metrics is not None:
+        table = table.where(F.col("METRIC_NAME").isin(*metrics))
+    if first_day is not None:
+        table = table.where(F.col(day) >= F.lit(first_day))
+    if last_day is not None:
+        table = table.where(F.col(day) <= F.lit(last_day))
+    return table
+
+
 def read_jdbc_table(
     spark: SparkSession,
     url: str,

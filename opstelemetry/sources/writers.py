@@ -76,4 +76,5 @@ def write_clustered(
     """
     keys = [F.col(c) for c in (*partition_by, *sort_by)]
     ranged = df.repartitionByRange(partitions, *keys) if partitions else df.repartitionByRange(*keys)
-    ranged.sortWithinPartitions(*keys).write.mode(mode).partitionBy(*partition_by).parquet(path)
+    writer = ranged.sortWithinPartitions(*keys).write.mode(mode)
+    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)

@@ -1,3 +1,5 @@
+import hashlib
+
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -72,20 +74,32 @@ def test_training_set(week):
     )
 
 
+def hot(df):
+    """Of each row the sizes and places of ones of its site vector."""
+    return sorted((r["SITE_HOT"].size, [int(i) for i in r["SITE_HOT"].indices]) for r in df.select("SITE_HOT").collect())
+
+
 def test_cleaners(week):
     full = X.clean_full(week)
-    assert full.columns == ["HAS_NEIGHBOR_INCIDENT", "PctFree_VALUE", "used_VALUE", "HOUR", "WEEKDAY", "SITE_MM400MinutemanRd", "SITE_S2"]
+    assert full.columns == ["HAS_NEIGHBOR_INCIDENT", "PctFree_VALUE", "used_VALUE", "HOUR", "WEEKDAY", "SITE_HOT"]
     assert full.count() == 3
-    assert rows(full, "SITE_MM400MinutemanRd", "SITE_S2") == [(0, 0), (0, 1), (1, 0)]
+    assert hot(full) == [(2, []), (2, [0]), (2, [1])]
     single = X.clean_single([week, week], "PctFree")
     assert sorted(single.columns) == ["HAS_NEIGHBOR_INCIDENT", "PctFree_VALUE"] and single.count() == 2
 
 
-def test_vocabulary_is_never_cut(spark):
-    df = spark.createDataFrame([("a",), ("b",), ("b",), (None,)], "SITE string")
-    assert X.site_vocabulary(df) == ["a", "b"]
-    with pytest.raises(ValueError):
-        X.site_vocabulary(df, limit=1)
+def test_sites_of_any_number(spark):
+    """20,000 sites are 20,000 slots of a sparse vector: one entry a row, and no column a site."""
+    df = spark.range(60_000).select("id", F.format_string("site%05d", F.col("id") % 20_000).alias("SITE"))
+    sites = X.site_index(df)
+    assert sites.count() == 20_000
+    encoded = X.site_one_hot(df, sites)
+    assert encoded.columns == ["id", "SITE_HOT"]
+    for r in encoded.where("id % 9973 = 0").collect():
+        assert (r["SITE_HOT"].size, list(r["SITE_HOT"].indices), list(r["SITE_HOT"].values)) == (20_000, [r["id"] % 20_000], [1.0])
+    other = spark.createDataFrame([(1, "elsewhere"), (2, None), (3, "site00007")], "id long, SITE string")
+    assert [list(r["SITE_HOT"].indices) for r in X.site_one_hot(other, sites).orderBy("id").collect()] == [[], [], [7]]
+    assert X.site_one_hot(other, X.site_index(other.where("SITE IS NULL"))).columns == ["id"]
 
 
 def test_one_hot_and_spread(spark):
@@ -106,6 +120,14 @@ def test_classes_and_split(spark):
         assert 0.62 < side.count() / 3000 < 0.72
 
 
+def test_draw_follows_from_the_keys(spark):
+    df = spark.createDataFrame([(1, None), (1, None), (2, "x")], "a long, b string")
+    draws = [r["__draw"] for r in X.with_draw(df, ["a", "b"]).collect()]
+    assert draws[0] == draws[1] == int(hashlib.md5(b"1|7").hexdigest()[:8], 16) / 2**32 and 0 <= draws[2] < 1
+    train, test = X.split(X.with_draw(df, ["a", "b"]), draws[0])
+    assert "__draw" not in train.columns and test.where("a = 1").count() == 2
+
+
 def test_split_spreads_equal_rows(spark):
     train, test = X.split(spark.range(1000).select(F.lit(1).alias("x")), 0.5)
     assert train.count() + test.count() == 1000 and 400 < train.count() < 600

@@ -1,5 +1,6 @@
 import math
 
+import numpy as np
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -31,21 +32,43 @@ def test_forecast_devices(readings):
 
 
 def test_recursion_feeds_predictions_back(spark):
-    class NextStep:
-        """Adds one to the newest value of each device."""
-
-        def __init__(self, i):
-            self.i = i
-
-        def transform(self, df):
-            return df.withColumn(f"p_{self.i}", F.element_at("x", -1)[self.i] + 1 + self.i)
-
+    # the newest value of each device plus one, and plus two
+    model = T.Forecaster([1.0, 2.0], [[0.0, 0.0, 1.0, 0.0], [0.0, 0.0, 0.0, 1.0]], 0.0)
     windows = spark.createDataFrame([(0, [[1.0, 2.0], [3.0, 4.0]])], "window int, x array<array<double>>")
-    got = T.forecast_recursive(T.Forecaster([NextStep(0), NextStep(1)], 0.0), windows).first()
+    got = T.forecast_recursive(model, windows).first()
     assert (got.pred_1, got.pred_2, got.pred_3) == ([4.0, 6.0], [5.0, 8.0], [6.0, 10.0])
     assert got.x == [[1.0, 2.0], [3.0, 4.0]]
 
 
+def test_path_against_numpy(spark, many_parts):
+    rnd = np.random.default_rng(3)
+    x = rnd.standard_normal((500, 3, 2)) * [1.0, 1e-3] + [0.0, 2e6]
+    y = x.reshape(500, 6) @ rnd.standard_normal((6, 2)) + rnd.standard_normal((500, 2)) * 0.01
+    data = [(a.tolist(), b.tolist()) for a, b in zip(x, y)]
+    windows = spark.createDataFrame(data, "x array<array<double>>, y_1 array<double>").repartition(7)
+    flat = x.reshape(500, 6)
+    centred, targets = flat - flat.mean(axis=0), y - y.mean(axis=0)
+    scale = centred.std(axis=0)
+    for model in T.fit_path(windows, 2, 3):
+        z = centred / scale
+        want = np.linalg.solve(z.T @ z / 500 + model.regularisation * np.eye(6), z.T @ targets / 500) / scale[:, None]
+        assert np.allclose(model.weights, want.T, rtol=1e-5)
+        predicted = np.array([r[0] for r in T.predict_next(model, windows, "p").select("p").collect()])
+        assert predicted.shape == (500, 2)
+    best = T.fit_path(windows, 2, 3)
+    errors = T.validation_errors(best, windows)
+    assert errors == sorted(errors) and errors[0] < 1e-3
+    with pytest.raises(ValueError):
+        T.fit_path(windows.limit(0), 2, 3)
+
+
+def test_constant_and_repeated_inputs(spark):
+    data = [([[5.0, float(i), float(i)]], [5.0, i + 1.0, i + 1.0]) for i in range(50)]
+    (model,) = T.fit_path(spark.createDataFrame(data, "x array<array<double>>, y_1 array<double>"), 3, 1, [0.0])
+    got = T.predict_next(model, spark.createDataFrame([([[5.0, 60.0, 60.0]],)], "x array<array<double>>"), "p").first()["p"]
+    assert got == pytest.approx([5.0, 61.0, 61.0])
+
+
 def test_tolerance_and_selection(spark):
     table = spark.createDataFrame(
         [(1, 10.0, 15.0), (1, 10.0, 15.1), (2, 1.0, 1.0)], "horizon int, predicted double, actual double"
@@ -57,6 +80,9 @@ def test_tolerance_and_selection(spark):
 
 def test_incomplete_windows_are_left_out(spark):
     data = [(i, [1.0, None if i == 3 else 2.0]) for i in range(16)]
-    steps = S.number_steps(spark.createDataFrame(data, "time long, values array<double>"))
+    wide = spark.createDataFrame(data, "time long, values array<double>")
+    steps = S.number_steps(wide)
+    filled = S.number_steps(S.carry_forward(wide, 2))
+    assert T.complete(S.forecast_windows(filled)).count() == 4
     assert rows(T.complete(S.forecast_windows(steps)), "window") == []
     assert S.forecast_windows(steps).count() == 4

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -58,4 +60,20 @@ def test_no_window_sorts_a_whole_series(spark):
     steps = make(spark, 60)
     text = S.forecast_windows(steps, ["g"])._jdf.queryExecution().executedPlan().toString()
     assert "windowspecdefinition(g#" in text
-    assert all("__block" in w or "__bucket" in w for w in text.split("windowspecdefinition(")[1:])
+    specs = [w.split("specifiedwindowframe")[0] for w in text.split("windowspecdefinition(")[1:]]
+    # a window that puts rows in order does so inside a block, a partition, or over a row a partition
+    assert all("__block" in w or "__part" in w for w in specs if "ASC" in w)
+
+
+def test_carry_forward(spark, many_parts):
+    rng = random.Random(3)
+    data = [(g, t, [rng.choice([None, None, float(t)]), None if t < 3900 else 1.0]) for g in ("a", None) for t in range(4000)]
+    df = spark.createDataFrame(data, "g string, time long, values array<double>").repartition(5)
+    want = []
+    for g in ("a", None):
+        last = [None, None]
+        for _, t, v in (d for d in data if d[0] == g):
+            last = [x if x is not None else y for x, y in zip(v, last)]
+            want.append((g, t, last))
+    assert rows(S.carry_forward(df, 2, ["g"]), "g", "time", "values") == sorted(want, key=repr)
+    assert S.carry_forward(df.limit(0), 2, ["g"]).collect() == []
