@@ -124,7 +124,9 @@ def lookup_join(
 def in_order(df: DataFrame, order: Sequence[Column]) -> DataFrame:
     """Range-sort and settle, with ``__part`` and ``__at``: the partition and the place inside it.
 
-    The settled rows fix the partitions' borders, which sampling may set otherwise on another run.
+    The settled rows fix the partitions' borders, which sampling may set otherwise on another run. The
+    borders are sampled from ``df``, which is evaluated once up to its last shuffle and twice from there:
+    settle a costly table without a shuffle first.
     """
     spot = F.monotonically_increasing_id()
     ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)

@@ -208,10 +208,8 @@ def pr_curve(scored: DataFrame, positive: int = 1, score_column: str = "p_incide
     positives has no recall.
     """
     hit = F.col("label") == positive
-    points = settle(
-        scored.groupBy(F.col(score_column).cast("double").alias("threshold")).agg(
-            F.count_if(hit).alias("hits"), F.count(F.lit(1)).alias("rows")
-        )
+    points = scored.groupBy(F.col(score_column).cast("double").alias("threshold")).agg(
+        F.count_if(hit).alias("hits"), F.count(F.lit(1)).alias("rows")
     )
     known = F.col("threshold").isNotNull()
     total = running_totals(

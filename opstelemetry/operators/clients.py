@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opstelemetry.functions.scale import lookup_join, running_totals, settle
+from opstelemetry.functions.scale import lookup_join, running_totals
 from opstelemetry.operators.filters import between_open
 
 
@@ -40,7 +40,7 @@ def client_rank(counts: DataFrame) -> DataFrame:
     """
     spread = F.md5(F.col("NEW_BUS_ID").cast("string"))
     ranked = running_totals(
-        settle(counts),
+        counts,
         {"__rank": F.lit(1), "__upto": F.col("RECONCILIATION_NUM")},
         order=[F.desc("RECONCILIATION_NUM"), spread, F.col("NEW_BUS_ID")],
     )

@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window as W
 
 from opstelemetry.config import PROFILE_SITE_SPELLINGS, PROFILED_METRICS
-from opstelemetry.functions.scale import running_totals, settle
+from opstelemetry.functions.scale import running_totals
 from opstelemetry.functions.scalar import hour_of, missing_as_null, weekday_of
 from opstelemetry.operators.filters import canonical_site, only, valid_values
 
@@ -33,52 +32,47 @@ def distribution(df: DataFrame, keys: Sequence[str], value: str, percentiles: Ma
     mean and deviation NaN. Infinities make the deviation NaN, and the mean infinite or, with both
     signs, NaN. A percentile between a finite and an infinite rank is infinite.
     """
-    keys, v, n = list(keys), F.col("__v"), F.col("__n")
-    present = df
-    for k in keys:
-        present = present.where(F.col(k).isNotNull())
-    counts = settle(
-        present.groupBy(*keys, F.col(value).cast("double").alias("__v")).agg(F.count(F.lit(1)).alias("__n"))
-    ).withColumn("__n", F.when(v.isNull(), 0).otherwise(n))
-    ranked = running_totals(counts, {"__upto": n}, [v.asc_nulls_first()], keys, part="__part")
-    last = F.col("__upto_all") - 1
-    start = F.col("__upto") - n
-    ranks = F.array_distinct(F.flatten(F.array(*[F.array(F.floor(p * last), F.ceil(p * last)) for p in map(float, percentiles.values())])))
-    held = F.filter(ranks, lambda r: (r >= start) & (r < F.col("__upto"))) if percentiles else F.array().cast("array<bigint>")
-    local = W.partitionBy("__part", *keys)
-    low = F.min("__v").over(local)
-    rows = ranked.withColumns({"__held": F.transform(held, lambda r: F.struct(r.alias("rank"), v.alias("v"))), "__low": low})
-    rows = rows.withColumn("__mean", F.try_divide(F.sum((v - F.col("__low")) * n).over(local), F.sum(n).over(local)))
-    away = v - F.col("__low") - F.col("__mean")
+    keys = list(keys)
+    present = df.where(" AND ".join(f"`{k}` IS NOT NULL" for k in keys)) if keys else df
+    counts = present.groupBy(*keys, F.col(value).cast("double").alias("__v")).agg(F.count(F.lit(1)).alias("__rows"))
+    counts = counts.selectExpr(*[f"`{k}`" for k in keys], "__v", "if(__v IS NULL, 0L, __rows) AS __n")
+    ranked = running_totals(counts, {"__upto": F.col("__n")}, [F.col("__v").asc_nulls_first()], keys, part="__part")
+    local = f"PARTITION BY __part{''.join(f', `{k}`' for k in keys)}"
+    rows = ranked.selectExpr("*", f"__v - min(__v) OVER ({local}) AS __d")
+    rows = rows.selectExpr("*", f"try_divide(sum(__d * __n) OVER ({local}), sum(__n) OVER ({local})) AS __m")
+
+    def on_rank(rank: str) -> str:
+        """The value at a rank, on the one row that holds it."""
+        return f"max(if({rank} >= __upto - __n AND {rank} < __upto, __v, NULL))"
+
+    fractions = [f"{float(p)!r}D" for p in percentiles.values()]
+    sides = [(f"__{side}{i}", f"{side}({p} * (__upto_all - 1))") for i, p in enumerate(fractions) for side in ("floor", "ceil")]
     # moments about the partition's own mean, and that mean as a distance from its least value: large values lose no digits
     parts = rows.groupBy("__part", *keys).agg(
-        F.sum("__n").alias("n"), F.sum(v * n).alias("s"), F.max("__mean").alias("m"), F.sum(away * away * n).alias("q"),
-        F.min("__v").alias("min"), F.max("__v").alias("max"),
-        F.flatten(F.collect_list(F.when(F.size("__held") > 0, F.col("__held")))).alias("held"),
+        F.expr("sum(__n) AS n"), F.expr("sum(__v * __n) AS s"), F.expr("max(__m) AS m"),
+        F.expr("sum((__d - __m) * (__d - __m) * __n) AS q"), F.expr("min(__v) AS low"), F.expr("max(__v) AS high"),
+        *[F.expr(f"{on_rank(rank)} AS {name}") for name, rank in sides],
     )
-    # as many structs as a key has partitions, and two values a percentile
+    # as many structs as a key has partitions
     whole = parts.groupBy(*keys).agg(
-        F.sum("n").alias("count"), F.sum("s").alias("__s"), F.min("min").alias("min"), F.max("max").alias("max"),
-        F.collect_list(F.when(F.col("n") > 0, F.struct("n", "m", "q", "min"))).alias("__parts"),
-        F.map_from_entries(F.flatten(F.collect_list("held"))).alias("__at"),
+        F.expr("sum(n) AS count"), F.expr("try_divide(sum(s), sum(n)) AS mean"), F.expr("min(low) AS min"), F.expr("max(high) AS max"),
+        F.expr("collect_list(if(n > 0, struct(n, q, low, m), NULL)) AS __parts"), *[F.expr(f"max({name}) AS {name}") for name, _ in sides],
+    )
+    whole = whole.selectExpr("*", "try_divide(aggregate(__parts, 0D, (t, x) -> t + x.n * (x.low - min + x.m)), count) AS __away")
+    squares = "aggregate(__parts, 0D, (t, x) -> t + x.q + x.n * pow(x.low - min + x.m - __away, 2))"
+
+    def interpolated(i: int, p: str) -> str:
+        low, high, share = f"__floor{i}", f"__ceil{i}", f"({p} * (count - 1) - floor({p} * (count - 1)))"
+        finite = f"abs({high} - {low}) < double('infinity')"
+        return (
+            f"CASE WHEN {share} = 0 OR {low} = {high} THEN {low} WHEN {finite} THEN {low} + ({high} - {low}) * {share} "
+            f"ELSE {low} * (1 - {share}) + {high} * {share} END"
+        )
+
+    return whole.selectExpr(
+        *[f"`{k}`" for k in keys], "mean", "count", f"if(count > 1, sqrt({squares} / (count - 1)), NULL) AS std", "min", "max",
+        *[f"{interpolated(i, fractions[i])} AS `{name}`" for i, name in enumerate(percentiles)],
     )
-    whole = whole.withColumn("mean", F.try_divide(F.col("__s"), F.col("count")))
-    from_least = F.transform("__parts", lambda x: F.struct(x["n"], x["q"], (x["min"] - F.col("min") + x["m"]).alias("m")))
-    whole = whole.withColumn("__parts", from_least)
-    mean = F.try_divide(F.aggregate("__parts", F.lit(0.0), lambda t, x: t + x["n"] * x["m"]), F.col("count"))
-    whole = whole.withColumn("__mean", mean)
-    squares = F.aggregate("__parts", F.lit(0.0), lambda t, x: t + x["q"] + x["n"] * (x["m"] - F.col("__mean")) * (x["m"] - F.col("__mean")))
-    whole = whole.withColumn("std", F.when(F.col("count") > 1, F.sqrt(squares / (F.col("count") - 1))))
-
-    def interpolated(p: float) -> Column:
-        position = F.lit(p) * (F.col("count") - 1)
-        share = position - F.floor(position)
-        low, high = F.col("__at")[F.floor(position)], F.col("__at")[F.ceil(position)]
-        between = F.when(F.abs(high - low) < float("inf"), low + (high - low) * share).otherwise(low * (1 - share) + high * share)
-        return F.when((share == 0) | (low == high), low).otherwise(between)
-
-    shown = [interpolated(float(p)).alias(name) for name, p in percentiles.items()]
-    return whole.select(*keys, "mean", "count", "std", "min", "max", *shown)
 
 
 def _percentile_columns(percentiles: Sequence[int]) -> dict[str, float]:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from opstelemetry.functions.scale import in_order, running_totals, settle
+from opstelemetry.functions.scale import in_order, running_totals
 
 BLOCK_STEPS = 4096
 
@@ -37,7 +37,7 @@ def number_steps(series: DataFrame, group: Sequence[str] = (), time: str = "time
 
     Times of one series must differ. A NULL group is a series like others.
     """
-    counted = running_totals(settle(series), {"__step": F.lit(1)}, [F.col(time)], group)
+    counted = running_totals(series, {"__step": F.lit(1)}, [F.col(time)], group)
     return counted.withColumns(
         {"step": F.col("__step") - 1, "n_steps": F.col("__step_all")}
     ).drop("__step", "__step_all")
