@@ -1,23 +1,21 @@
 """Quality rules: a short-circuit cascade, ordered by rejection per cost.
 
-Every rule is a column that is true where a document fails. On a sample each rule's cost (time per
-document) and rejection are measured; the cascade asks the rules in the order of rejection per cost
-and stops at the first that fails. The order changes the work, never the verdict.
+Every rule is a column that is true where a document fails. On a sample each rule's rejection and cost
+(passes over characters) are counted; the cascade asks the rules in the order of rejection per cost
+and stops at the first that fails. The order changes the work, never the verdict, and is the same in
+every run on the same input.
 
 Null text counts as empty, which fails ``too_few_words``. Everything is column expressions.
 """
 
 from __future__ import annotations
 
-import time
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from opstelemetry.functions.scale import settle
-
 WINDOW = 8
 SPACE = " \t\n\x0b\x0c\r"
 SPACE_RUN = r"[ \t-\r]+"
@@ -25,12 +23,10 @@ SPACE_RUN = r"[ \t-\r]+"
 
 @dataclass(frozen=True)
 class Rule:
-    """``failed`` is null-free. ``cost`` is seconds per sampled document, ``rejected`` their share."""
+    """``failed`` is null-free."""
 
     name: str
     failed: Column
-    cost: float = 0.0
-    rejected: float = 0.0
 
 
 def let(value: Column, body) -> Column:
@@ -144,46 +140,86 @@ def measured_rules() -> list[Rule]:
     return rules_on(*map(F.col, names))
 
 
-def text_rules(text: str = "text") -> list[Rule]:
-    """Over the text itself: a rule's work is done only where the cascade asks it."""
+#: Passes over a text's characters that a rule makes beside the split into words, which counts as one more.
+WORK = {"too_few_words": 0, "repeated_words": 8, "symbols": 1, "exclamations": 1, "duplicate_lines": 2, "word_length": 1}
+_WITHOUT_WORDS = ("duplicate_lines",)
+
+
+def _fails(name: str, text: Column, words: Column | None) -> Column:
+    """Whether the rule of that name fails, with only its own measures computed."""
+    measures = [F.lit(0)] * 7
+    if words is not None:
+        measures[0] = F.size(words)
+
+    def rule() -> Column:
+        return next(r.failed for r in rules_on(*measures) if r.name == name)
+
+    def by_lines(lines: Column) -> Column:
+        measures[3], measures[4] = F.size(lines), n_dup_lines(lines)
+        return rule()
+
+    if name == "duplicate_lines":
+        return let(lines_of(text), by_lines)
+    if name == "repeated_words":
+        measures[6] = n_repeat_words(words)
+    elif name == "symbols":
+        measures[2] = n_symbols(text)
+    elif name == "exclamations":
+        measures[5] = marks(text)
+    elif name == "word_length":
+        measures[1] = word_chars(words)
+    return rule()
+
+
+def text_verdict(names: Sequence[str], text: str = "text") -> Column:
+    """The first rule of ``names`` that fails on a text, null where none does.
+
+    A rule's work is done only where those before it pass, and the words are split once, when the first
+    rule that needs them is asked.
+    """
     t = F.coalesce(F.col(text), F.lit(""))
-    words = words_of(t)
-    n = F.size(words)
 
-    def over_words(rule: int, measure: int, value) -> Rule:
-        def body(w: Column) -> Column:
-            measures = [F.lit(0)] * 7
-            measures[0], measures[measure] = F.size(w), value(w)
-            return rules_on(*measures)[rule].failed
+    def chain(rest: Sequence[str], words: Column | None) -> Column:
+        if not rest:
+            return F.lit(None).cast("string")
+        if words is None and rest[0] not in _WITHOUT_WORDS:
+            return let(words_of(t), lambda w: chain(rest, w))
+        return F.when(_fails(rest[0], t, words), F.lit(rest[0])).otherwise(chain(rest[1:], words))
 
-        return Rule(names[rule], let(words, body))
+    return chain(names, None)
 
-    names = [r.name for r in rules_on(*[F.lit(0)] * 7)]
-    zero = F.lit(0)
-    return [
-        rules_on(n, zero, zero, zero, zero, zero, zero)[0],
-        over_words(1, 6, n_repeat_words),
-        rules_on(n, zero, n_symbols(t), zero, zero, zero, zero)[2],
-        rules_on(n, zero, zero, zero, zero, marks(t), zero)[3],
-        Rule(names[4], let(lines_of(t), lambda x: rules_on(zero, zero, zero, F.size(x), n_dup_lines(x), zero, zero)[4].failed)),
-        over_words(5, 1, word_chars),
-    ]
 
+def ordered(docs: DataFrame, sample_rows: int = 2000, seed: int = 7) -> list[str]:
+    """The rules by rejection per cost, each measured on what those before it leave of about ``sample_rows`` documents.
 
-def ordered(docs: DataFrame, rules: Sequence[Rule], sample_rows: int = 2000, seed: int = 7) -> list[Rule]:
-    """The rules by rejection per cost, both measured on about ``sample_rows`` sampled documents."""
+    Cost counts passes over characters (``WORK``), not time, so the same input gives the same order. The
+    sample comes back as a row for each combination of failed rules. Ties go to the cheaper rule, then to
+    the one listed first.
+    """
+    names = [r.name for r in measured_rules()]
     total = docs.count()
     if not total:
-        return list(rules)
-    sample = settle(docs.select("text").sample(min(1.0, sample_rows / total), seed))
-    size = max(1, sample.count())
-    out = []
-    for rule in rules:
-        began = time.perf_counter()
-        failed = sample.agg(F.count_if(rule.failed)).first()[0]
-        cost = (time.perf_counter() - began) / size
-        out.append(Rule(rule.name, rule.failed, cost, failed / size))
-    return sorted(out, key=lambda r: (-r.rejected / r.cost, r.cost))
+        return names
+    texts = docs.select("text", F.coalesce(F.char_length("text"), F.lit(0)).cast("bigint").alias("__c"))
+    sample = with_measures(texts.sample(min(1.0, sample_rows / total), seed))
+    failed = [r.failed.alias(f"__f{i}") for i, r in enumerate(measured_rules())]
+    sizes = sample.select(*failed, "__c")
+    left = sizes.groupBy(*[f"__f{i}" for i in range(len(names))]).agg(F.count("*").alias("n"), F.sum("__c").alias("c")).collect()
+    out: list[str] = []
+    while len(out) < len(names):
+        split = any(x not in _WITHOUT_WORDS for x in out)
+        documents, characters = sum(r["n"] for r in left), sum(r["c"] for r in left)
+
+        def worth(i: int, split=split, documents=documents, characters=characters) -> tuple:
+            passes = WORK[names[i]] + (not split and names[i] not in _WITHOUT_WORDS)
+            cost = documents + passes * characters
+            rejected = sum(r["n"] for r in left if r[f"__f{i}"])
+            return (-rejected / cost if cost else 0.0, cost, i)
+
+        best = min((i for i in range(len(names)) if names[i] not in out), key=worth)
+        out.append(names[best])
+        left = [r for r in left if not r[f"__f{best}"]]
+    return out
 
 
 def verdict(rules: Sequence[Rule]) -> Column:
@@ -196,14 +232,13 @@ def verdict(rules: Sequence[Rule]) -> Column:
 
 def cascade(docs: DataFrame, sample_rows: int = 2000) -> DataFrame:
     """Keep the documents that pass every rule; all columns stay."""
-    chain = verdict(ordered(docs, text_rules(), sample_rows))
-    return docs.where(chain.isNull())
+    return docs.where(text_verdict(ordered(docs, sample_rows)).isNull())
 
 
 def judged(docs: DataFrame, sample_rows: int = 2000) -> DataFrame:
-    """One row per row of ``docs``: doc_id, the measures, base_failed, kept and the failed rule."""
+    """One row per row of ``docs``: doc_id, the measures, base_failed, kept and the first failed rule of the cascade's order."""
     own = docs.select("doc_id", "text")
-    order = [r.name for r in ordered(own, text_rules(), sample_rows)]
+    order = ordered(own, sample_rows)
     rules = sorted(measured_rules(), key=lambda r: order.index(r.name))
     base = [r.failed for r in rules if r.name in ("too_few_words", "repeated_words")]
     rows = with_measures(own).withColumns({"failed_rule": verdict(rules), "base_failed": base[0] | base[1]})

@@ -6,11 +6,14 @@ alphabet: chi-squared uniformity, runs above and below the alphabet's middle, an
 neighbours. The least of the three p-values, corrected for their number (Sidak), is uniform for random
 tokens and close to zero for words.
 
-How many words come near uniform depends on length, so tokens are counted by encoding, length class and
-p-value over the whole corpus (a table of bounded size). In each class the density above one half
-estimates the random tokens; the class's threshold is the least p-value above which at most ``rate`` of
-the tokens, give or take the standard error of their number, are not random by that estimate. A class too short to tell words from keys gets no threshold
-below one half.
+How many words come near uniform depends on length, so distinct tokens are counted by encoding, length class
+and p-value over the whole corpus (a table of bounded size); copies of a token count once, however many
+there are. Random tokens have p-values spread evenly, so those above one half give the number to
+expect in any stretch below it. A class's threshold is the least p-value above which the tokens beyond that
+expectation are at most ``rate`` of all. A class with fewer than ``LEAST_TOKENS`` tokens above one half cannot tell
+words from keys: such classes of one encoding are judged together, and where even that is too little
+evidence the threshold is one half. Thresholds
+lie between one hundredth, below which the battery rejects a token whatever its class, and one half.
 
 Spans count code points, end exclusive. Null and empty texts have none. Rows stay one to one. All is
 column expressions: there is no shuffle but that of the counts.
@@ -18,6 +21,8 @@ column expressions: there is no shuffle but that of the counts.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -40,6 +45,7 @@ ALPHABETS = (
     ("base64", "^.*$", UPPER_LETTERS + LOWER_LETTERS + DIGITS + "+/"),
 )
 BINS = 100
+LEAST_TOKENS = 20
 _BLOCK = 256
 
 
@@ -166,28 +172,43 @@ def class_of(token: Column) -> Column:
     return encoding(token) * 100 + length_class(token)
 
 
+def least_bin(own: Sequence[int], rate: float) -> int | None:
+    """The first bin above which at most ``rate`` of the tokens are beyond an even spread; None without enough evidence.
+
+    The spread is taken from the upper half, the tokens beyond it from the bins below: the two never overlap.
+    Their difference may be off by the standard error of such counts, which is allowed for.
+    """
+    half = BINS // 2
+    upper = sum(own[half:])
+    if upper < LEAST_TOKENS:
+        return None
+    for low in range(1, half):
+        below = sum(own[low:half])
+        if below - upper * (half - low) / half <= rate * (below + upper) + (below + upper) ** 0.5:
+            return low
+    return half
+
+
 def thresholds(docs: DataFrame, rate: float = 0.05) -> dict[int, float]:
-    """Least p-value of a discovery by class, from the counts of all candidates of the corpus."""
+    """Least p-value of a discovery by class, from all distinct candidates of the corpus."""
     text = F.coalesce("text", F.lit(""))
     tokens = docs.where(text.rlike(CANDIDATE)).select(
-        F.explode(F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0))).alias("token")
+        F.explode(F.array_distinct(F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0)))).alias("token")
     )
-    bins = tokens.select(
+    bins = tokens.distinct().select(
         class_of(F.col("token")).alias("class"),
         F.least(F.floor(randomness(F.col("token")) * BINS).cast("int"), F.lit(BINS - 1)).alias("bin"),
     )
     counts: dict[int, list[int]] = {}
     for row in bins.groupBy("class", "bin").count().collect():  # at most 4 x 21 classes of BINS bins
         counts.setdefault(row["class"], [0] * BINS)[row["bin"]] = row["count"]
-    out = {}
-    for found, own in counts.items():
-        density = sum(own[BINS // 2 :]) / (BINS - BINS // 2)
-        for low in range(BINS):
-            above = sum(own[low:])
-            if above and above - density * (BINS - low) <= rate * above + above**0.5:
-                out[found] = low / BINS
-                break
-    return out
+    found = {c: least_bin(own, rate) for c, own in counts.items()}
+    pooled: dict[int, list[int]] = {}
+    for c in (c for c, low in found.items() if low is None):
+        pooled[c // 100] = [x + y for x, y in zip(pooled.get(c // 100, [0] * BINS), counts[c], strict=True)]
+    together = {e: least_bin(own, rate) for e, own in pooled.items()}
+    lows = {c: together[c // 100] if low is None else low for c, low in found.items()}
+    return {c: (BINS // 2 if low is None else low) / BINS for c, low in lows.items()}
 
 
 def random_spans(text: Column, least: dict[int, float]) -> Column:

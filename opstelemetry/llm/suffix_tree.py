@@ -267,30 +267,54 @@ def _word_names(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.where(names == _END_NAME, 0, names), n
 
 
-def _summed(names: list[np.ndarray], numbers: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    distinct, at = np.unique(np.concatenate(names), return_inverse=True)
-    return distinct, np.bincount(at, np.concatenate(numbers), len(distinct)).astype(np.int64)
+def _summed(names: np.ndarray, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct names in order and the sums of their numbers."""
+    order = np.argsort(names, kind="stable")
+    names = names[order]
+    first = np.ones(len(names), bool)
+    first[1:] = names[1:] != names[:-1]
+    return names[first], np.add.reduceat(numbers[order], np.flatnonzero(first)) if len(names) else numbers
+
+
+class _Sums:
+    """Numbers by name, summed block by block; blocks of like size are merged, so little is held twice."""
+
+    def __init__(self):
+        self.parts: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def add(self, names: np.ndarray, numbers: np.ndarray) -> None:
+        self.parts.append(_summed(names, numbers))
+        while len(self.parts) > 1 and 2 * len(self.parts[-1][0]) > len(self.parts[-2][0]):
+            self._merge()
+
+    def _merge(self) -> None:
+        two, one = self.parts.pop(), self.parts.pop()
+        self.parts.append(_summed(np.concatenate([one[0], two[0]]), np.concatenate([one[1], two[1]])))
+
+    def all(self) -> tuple[np.ndarray, np.ndarray]:
+        while len(self.parts) > 1:
+            self._merge()
+        return self.parts[0] if self.parts else (np.zeros(0, np.int64), np.zeros(0, np.int64))
 
 
 def _chunk_parts(depth: int):
     def parts(table: pa.Table) -> pa.Table:
         """Distinct words and grams of a chunk with their number of places in training texts."""
-        words, grams, ends = ([], []), ([], []), 0
+        words, grams, ends = _Sums(), _Sums(), 0
         training = np.invert(table.column("held_out").to_numpy())
         for chunk in _even(table):
             for first, texts in _blocks_of(chunk[1]):
                 use = training[chunk[0] + first : chunk[0] + first + len(texts)]
                 ends += int(use.sum())
-                for (names, numbers), (own, n) in ((words, _word_names(texts)), (grams, _codes(texts, depth))):
-                    distinct, counted = _summed([own], [np.repeat(use, n)])
-                    names.append(distinct)
-                    numbers.append(counted)
-        words[0].append(np.array([_END_NAME]))
-        words[1].append(np.array([ends]))
-        (name, n), (gram, m) = _summed(*words), _summed(*grams)
-        is_gram = np.repeat([False, True], [len(name), len(gram)])
-        chunks = np.full(len(is_gram), table.column("chunk")[0].as_py(), np.int64)
-        return pa.table({"is_gram": is_gram, "name": np.concatenate([name, gram]), "chunk": chunks, "n": np.concatenate([n, m])})
+                for sums, (own, n) in ((words, _word_names(texts)), (grams, _codes(texts, depth))):
+                    sums.add(own, np.repeat(use, n).astype(np.int64))
+        words.add(np.array([_END_NAME]), np.array([ends]))
+        tables = []
+        for is_gram, sums in ((False, words), (True, grams)):
+            name, n = sums.all()
+            both = [pa.array(np.full(len(name), is_gram)), pa.array(name), pa.array(np.full(len(name), table.column("chunk")[0].as_py(), np.int64)), pa.array(n)]
+            tables.append(pa.Table.from_arrays(both, ["is_gram", "name", "chunk", "n"]))
+        return pa.concat_tables(tables)
 
     return parts
 

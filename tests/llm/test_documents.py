@@ -140,6 +140,19 @@ def test_quality(docs, rows, none):
     assert quality.judged(none).collect() == quality.cascade(none).collect() == []
 
 
+def test_rules_are_ordered_alike_in_every_run(spark):
+    texts_ = ["word " * 30] * 50 + ["few words"] * 40 + ["!!! " * 40] * 30 + ["# " * 50] * 5 + [" ".join(f"w{i}" for i in range(60))] * 60
+    df = spark.createDataFrame(list(enumerate(texts_)), "doc_id long, text string").repartition(4)
+    order = quality.ordered(df)
+    assert sorted(order) == sorted(quality.WORK) and all(quality.ordered(df) == order for _ in range(2))
+    # the cheapest comes before a dearer one that rejects no more
+    assert order[0] == "too_few_words"
+    failed = [{(r["doc_id"], r["failed_rule"]) for r in quality.judged(df).collect()} for _ in range(2)]
+    assert failed[0] == failed[1]
+    by_text = {(r["doc_id"], r["v"]) for r in df.select("doc_id", quality.text_verdict(order).alias("v")).collect()}
+    assert by_text == failed[0]
+
+
 def base_spans(text):
     assign = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
     out = [(m.start(), 0, m.end()) for m in assign.finditer(text or "") if len(m[2]) >= 12]
@@ -169,6 +182,31 @@ def test_secret_battery_tells_keys_from_words(spark):
     assert len([i for i in hit if i < 60]) >= 54 and len([i for i in hit if i >= 60]) <= 6
 
 
+def spans_of(spark, texts_):
+    df = spark.createDataFrame(list(enumerate(texts_)), "doc_id long, text string")
+    return {r["doc_id"]: r["spans"] for r in secrets.digest(df).collect()}
+
+
+def test_words_alone_are_no_secrets(spark):
+    words = ["internationalization", "counterproductivity", "MISUNDERSTANDINGS", "well-known-path/to/some-documents", "uncharacteristically"]
+    for lone in words:
+        assert spans_of(spark, [f"see {lone} now"])[0] == ""
+    assert set(spans_of(spark, [f"about {w} and" for w in words] * 20).values()) == {""}
+
+
+def test_copies_of_a_token_do_not_move_a_threshold(spark):
+    rnd = random.Random(8)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    keys = ["".join(rnd.choice(letters) for _ in range(40)) for _ in range(60)]
+    word = "PassPassPassPassPassPassPassPassPassPass"
+    alone = spans_of(spark, [f"x {k} y" for k in keys])
+    among = spans_of(spark, [f"x {k} y" for k in keys] + [f"x {word} y"] * 3000)
+    assert len([i for i in range(60) if alone[i]]) >= 54
+    assert all(among[i] == alone[i] for i in range(60)) and not any(among[i] for i in range(60, 3060))
+    copied = spans_of(spark, [f"x {k} y" for k in keys + [keys[0]] * 3000])
+    assert all(copied[i] == alone[i] for i in range(60))
+
+
 def test_licenses(docs, rows, none):
     def expected(r):
         words = re.findall(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low(r[1]))
