@@ -40,13 +40,13 @@ def new_folder(spark: SparkSession, name: str = "table") -> str:
     return path
 
 
-def settle(df: DataFrame) -> DataFrame:
+def settle(df: DataFrame, compression: str = "snappy") -> DataFrame:
     """K7: write an intermediate to the shared folder as Parquet and read it back.
 
     It is computed once, survives lost executors, and later reads take only the columns they need.
     """
     path = new_folder(df.sparkSession)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._settled = path
     return out
