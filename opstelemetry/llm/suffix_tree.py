@@ -367,7 +367,7 @@ def scored(docs: DataFrame, key: str = "doc_id", depth: int = DEPTH, gain: float
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     chunks = 1 + int(size) // CHUNK_BYTES
     dealt = rows.withColumn("chunk", F.pmod(F.xxhash64("key", "text"), F.lit(chunks)))
-    parts = finished(dealt.groupBy("chunk").applyInArrow(_chunk_parts(depth), "is_gram boolean, name bigint, chunk bigint, n bigint"))
+    parts = finished(dealt.groupBy("chunk").applyInArrow(_chunk_parts(depth), "is_gram boolean, name bigint, chunk bigint, n bigint"), compression="zstd")
     whole = W.partitionBy("name")
     summed = parts.where("not is_gram").select(
         "name",
@@ -377,12 +377,12 @@ def scored(docs: DataFrame, key: str = "doc_id", depth: int = DEPTH, gain: float
     )
     fresh = (F.col("chunk") == F.col("least")) & (F.col("total") > 0)
     words = summed.select("name", "chunk", F.lit(False).alias("is_gram"), F.col("total").cast("double").alias("value"), fresh.cast("int").alias("fresh"))
-    words = finished(words)
+    words = finished(words, compression="zstd")
     # a gram's chunks in lists of bounded length, so that its probability meets the lists instead of a row for each chunk
     places = parts.where("is_gram").groupBy(F.col("name").alias("gram"), F.shiftright("chunk", 8).alias("block"))
-    lists = finished(places.agg(F.sum("n").alias("n"), F.collect_list(F.col("chunk").cast("int")).alias("chunks")), parts)
-    grams = finished(lists.groupBy("gram").agg(F.sum("n").alias("n")))
-    logs = finished(tree_table(grams, depth, gain, prior).select("gram", F.log10("p").alias("value")), grams)
+    lists = finished(places.agg(F.sum("n").alias("n"), F.collect_list(F.col("chunk").cast("int")).alias("chunks")), parts, compression="zstd")
+    grams = finished(lists.groupBy("gram").agg(F.sum("n").alias("n")), compression="zstd")
+    logs = finished(tree_table(grams, depth, gain, prior).select("gram", F.log10("p").alias("value")), grams, compression="zstd")
     met = lists.join(logs, "gram").select(F.col("gram").alias("name"), F.explode(F.col("chunks").cast("array<bigint>")).alias("chunk"), F.lit(True).alias("is_gram"), "value", F.lit(0).alias("fresh"))
     known = words.unionByName(met)
     kind = rows.schema["key"].dataType.simpleString()
