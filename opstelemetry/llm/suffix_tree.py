@@ -18,7 +18,7 @@ tried; it scored held-out texts worse than the tree alone.
 Where the tree is. The probability of a byte depends on its (depth + 1)-gram alone, so the tree is a Spark
 table of the probabilities of all grams that texts hold, made from the root outwards: a level joins the
 one before on the gram without its first byte, which at most 256 grams share. Chunks get the rows of their
-own grams by a join. Nothing of it is on the driver or broadcast. ``Tree`` holds the same model as an
+own grams by a join, packed into lists before they are dealt to chunks. Nothing of it is on the driver or broadcast. ``Tree`` holds the same model as an
 automaton, for corpora that fit the driver.
 
 Base. The words of a chunk of texts are counted together, the counts of equal words summed over chunks,
@@ -326,18 +326,48 @@ def _even(table: pa.Table) -> Iterator[tuple[int, pa.Array]]:
         first += len(text)
 
 
-def _sorted(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    names = table.column("name").to_numpy()
+def _packed(column: str, step: int = 1 << 20):
+    """Rows (name, chunks, value) as lists of names and values by chunk, so that a chunk gets few, long rows."""
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            held.append(batch)
+            size += len(batch.column("chunks").flatten())
+            if size >= step:
+                yield _by_chunk(held, column)
+                held, size = [], 0
+        if held:
+            yield _by_chunk(held, column)
+
+    return packed
+
+
+def _by_chunk(held: list[pa.RecordBatch], column: str) -> pa.RecordBatch:
+    table = pa.Table.from_batches(held).combine_chunks()
+    lists = table.column("chunks").combine_chunks()
+    chunk = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+    row = pc.list_parent_indices(lists).to_numpy()
+    order = np.argsort(chunk, kind="stable")
+    chunk, row = chunk[order], row[order]
+    cuts = np.flatnonzero(np.diff(chunk, prepend=chunk[:1] - 1))
+    offsets = pa.array(np.append(cuts, len(chunk)), pa.int32())
+    names, values = (table.column(c).combine_chunks().take(pa.array(row)) for c in ("name", column))
+    return pa.RecordBatch.from_arrays(
+        [pa.array(chunk[cuts]), pa.ListArray.from_arrays(offsets, names), pa.ListArray.from_arrays(offsets, values)], ["chunk", "names", column]
+    )
+
+
+def _sorted(table: pa.Table, column: str) -> tuple[np.ndarray, np.ndarray]:
+    names, values = (np.concatenate([x.flatten().to_numpy() for x in table.column(c).chunks] or [np.zeros(0)]) for c in ("names", column))
     order = np.argsort(names)
-    return names[order], table.column("value").to_numpy()[order]
+    return names[order], values[order]
 
 
 def _scorer(depth: int):
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
-        is_gram = right.column("is_gram")
-        names, seen = _sorted(right.filter(pc.invert(is_gram)))
-        grams, logs = _sorted(right.filter(is_gram))
-        fresh = int(right.column("fresh").to_numpy().sum())
+        names, seen = _sorted(right.filter(pc.is_valid(right.column("n"))), "n")
+        grams, logs = _sorted(right.filter(pc.is_valid(right.column("log"))), "log")
         end = seen[np.searchsorted(names, _END_NAME)]
         out = [[], [], [], []]
         for _, chunk in _even(left):
@@ -352,11 +382,7 @@ def _scorer(depth: int):
                 out[2].append(np.bincount(text, np.log10(count + 1.0), len(texts)) + np.log10(end + 1.0))
                 out[3].append(np.bincount(place, logs[np.searchsorted(grams, codes)], len(texts)))
         n, known, base, tree_score = (np.concatenate(x) for x in out)
-        first = np.zeros(len(n), np.int64)
-        first[:1] = fresh
-        return pa.table(
-            {"key": left.column("key"), "held_out": left.column("held_out"), "n_tokens": n, "n_known": known, "logs": base, "fresh": first, "score": tree_score}
-        )
+        return pa.table({"key": left.column("key"), "held_out": left.column("held_out"), "n_tokens": n, "n_known": known, "logs": base, "score": tree_score})
 
     return score
 
@@ -376,29 +402,31 @@ def scored(docs: DataFrame, key: str = "doc_id", depth: int = DEPTH, gain: float
         F.min("chunk").over(whole).alias("least"),
     )
     fresh = (F.col("chunk") == F.col("least")) & (F.col("total") > 0)
-    words = summed.select("name", "chunk", F.lit(False).alias("is_gram"), F.col("total").cast("double").alias("value"), fresh.cast("int").alias("fresh"))
-    words = finished(words, compression="zstd")
+    chunk = F.array(F.col("chunk").cast("int")).alias("chunks")
+    words = finished(summed.select("name", chunk, F.col("total").alias("n"), fresh.alias("fresh")), compression="zstd")
+    v = words.where("fresh").count()
     # a gram's chunks in lists of bounded length, so that its probability meets the lists instead of a row for each chunk
     places = parts.where("is_gram").groupBy(F.col("name").alias("gram"), F.shiftright("chunk", 8).alias("block"))
     lists = finished(places.agg(F.sum("n").alias("n"), F.collect_list(F.col("chunk").cast("int")).alias("chunks")), parts, compression="zstd")
     grams = finished(lists.groupBy("gram").agg(F.sum("n").alias("n")), compression="zstd")
-    logs = finished(tree_table(grams, depth, gain, prior).select("gram", F.log10("p").alias("value")), grams, compression="zstd")
-    met = lists.join(logs, "gram").select(F.col("gram").alias("name"), F.explode(F.col("chunks").cast("array<bigint>")).alias("chunk"), F.lit(True).alias("is_gram"), "value", F.lit(0).alias("fresh"))
-    known = words.unionByName(met)
+    logs = finished(tree_table(grams, depth, gain, prior).select("gram", F.log10("p").alias("log")), grams, compression="zstd")
+    met = lists.join(logs, "gram").select(F.col("gram").alias("name"), "chunks", "log")
+    met = met.mapInArrow(_packed("log"), "chunk bigint, names array<bigint>, log array<double>")
+    known = words.select("name", "chunks", "n").mapInArrow(_packed("n"), "chunk bigint, names array<bigint>, n array<bigint>")
+    known = known.unionByName(met, allowMissingColumns=True)
     kind = rows.schema["key"].dataType.simpleString()
     found = finished(
         dealt.groupBy("chunk")
         .cogroup(known.groupBy("chunk"))
         .applyInArrow(
             _scorer(depth),
-            f"key {kind}, held_out boolean, n_tokens bigint, n_known bigint, logs double, fresh bigint, score double",
+            f"key {kind}, held_out boolean, n_tokens bigint, n_known bigint, logs double, score double",
         ),
         words,
         lists,
         logs,
     )
-    both = found.agg(F.sum(F.when(~F.col("held_out"), F.col("n_tokens"))), F.sum("fresh")).first()
-    n, v = int(both[0] or 0), int(both[1] or 0)
+    n = int(found.where(~F.col("held_out")).agg(F.sum("n_tokens")).first()[0] or 0)
     base = F.col("logs") - F.col("n_tokens") * F.log10(F.lit(float(n + v + 1)))
     return found.select(
         F.col("key").alias(key), "held_out", "n_tokens", "n_known", F.lit(n).cast("bigint").alias("train_tokens"), base.alias("base_score"), "score"
