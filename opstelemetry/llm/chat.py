@@ -1,7 +1,8 @@
 """Chat formatting: link tool calls and results, order them, validate arguments, write canonical JSON.
 
-Input is one row per event: conv_id, turn, kind ("call" or "result"), call_id, after_id (the call whose
-result a call waits for, or null), name, arguments (JSON of a call) and content (text of a result).
+Input is one row per event: conv_id, turn, kind, call_id, after_id (the call whose result a call waits
+for, or null), name, arguments (JSON of a call) and content (text of a result). Kinds other than "call" and
+"result", null among them, are messages: they link to nothing, have level 0 and no errors.
 
 * Linking is a hash join of results with calls on conversation and identifier. If calls share an
   identifier the earliest is linked and the others have the error "duplicate id"; every result of an
@@ -15,10 +16,14 @@ result a call waits for, or null), name, arguments (JSON of a call) and content
 * ``position`` counts a conversation's events by level, turn, kind and identifier, from 0. It comes from
   range-sorted running sums, so a conversation may hold any share of all rows.
 * Arguments are checked against the tool's schema: unknown tool, no JSON object, missing or unknown
-  parameter, or wrong type. The JSON line has sorted keys and no white space.
+  parameter, or wrong type. The JSON line has sorted keys, no white space and one form of a number: with
+  a fraction or an exponent it is a double, without them where it is whole and below 10^18; digits
+  alone stay as they are. Types are those of the written form, so 3.0 and 3e0 are the integer 3.
 
 Null conversations, identifiers and texts are kept: a null identifier links to nothing. Events repeated in
-full are events of their own, but one that others wait for counts once. Column expressions only.
+full are events of their own, but one that others wait for counts once. Ties beyond the order of ``position``
+have equal lines. Arguments beyond Spark's size of a variant (128 MB) are no JSON object. Further columns
+of the input are left out, whatever their names; no events give no rows. Column expressions only.
 """
 
 from __future__ import annotations
@@ -30,30 +35,34 @@ from opstelemetry.functions.scale import lookup_join, settle
 from opstelemetry.llm.ordering import running
 
 #: Types of JSON values by the names that Spark gives them.
-_KINDS = (("integer", "^BIGINT$"), ("number", "^(BIGINT|DOUBLE|DECIMAL.*)$"), ("string", "^STRING$"), ("boolean", "^BOOLEAN$"), ("array", "^ARRAY.*$"), ("object", "^OBJECT.*$"))
+_KINDS = (("integer", "^(BIGINT|DECIMAL.[0-9]+,0.)$"), ("number", "^(BIGINT|DOUBLE|DECIMAL.*)$"), ("string", "^STRING$"), ("boolean", "^BOOLEAN$"), ("array", "^ARRAY.*$"), ("object", "^OBJECT.*$"))
+
+#: A string, a number, or what stands between them in JSON text.
+_PIECE = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"|-?[0-9][0-9.eE+-]*+|[^"0-9-]++'
+_WHOLE_BELOW = 1e18
 
 
 def linked(events: DataFrame) -> DataFrame:
     """Add ``node`` (name of the event), ``parent`` (name of the event waited for) and ``link_error``."""
-    call = F.col("kind") == "call"
+    call, result = (F.col("kind").eqNullSafe(kind) for kind in ("call", "result"))
     first = (
         events.where(call & F.col("call_id").isNotNull())
         .groupBy(F.col("conv_id").alias("c"), F.col("call_id").alias("i"))
         .agg(F.min("turn").alias("at"))
     )
     answer = (
-        events.where(~call & F.col("call_id").isNotNull())
+        events.where(result & F.col("call_id").isNotNull())
         .groupBy(F.col("conv_id").alias("rc"), F.col("call_id").alias("ri"))
         .agg(F.min("turn").alias("answered"))
     )
     known = first.join(answer, F.col("c").eqNullSafe(F.col("rc")) & (F.col("i") == F.col("ri")), "left").select("c", "i", "at", "answered")
-    own = F.when(call, F.concat(F.lit("c:"), "call_id")).otherwise(F.concat_ws(":", F.lit("r"), F.col("turn"), F.col("call_id")))
-    target = F.when(call, F.col("after_id")).otherwise(F.col("call_id"))
+    own = F.when(call, F.concat(F.lit("c:"), "call_id")).when(result, F.concat_ws(":", F.lit("r"), F.col("turn"), F.col("call_id")))
+    target = F.when(call, F.col("after_id")).when(result, F.col("call_id"))
     rows = events.withColumns({"node": own, "__target": target})
     seen = rows.join(known, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("__target") == F.col("i")), "left")
     waits = F.when(call & F.col("answered").isNotNull(), F.concat_ws(":", F.lit("r"), F.col("answered"), F.col("i")))
     parent = F.when(F.col("at").isNotNull(), F.coalesce(waits, F.concat(F.lit("c:"), "i")))
-    lost = F.col("at").isNull() & F.when(call, F.col("after_id").isNotNull()).otherwise(F.lit(True))
+    lost = F.col("at").isNull() & F.when(call, F.col("after_id").isNotNull()).otherwise(result)
     rows = seen.select(*events.columns, "node", parent.alias("parent"), F.when(lost, "unlinked").alias("__lost"))
     again = first.withColumnsRenamed({"c": "c2", "i": "i2", "at": "at2"})
     same = F.col("conv_id").eqNullSafe(F.col("c2")) & (F.col("call_id") == F.col("i2")) & call
@@ -97,20 +106,34 @@ def _mistakes(given: Column, parameters: Column) -> Column:
     return F.array_sort(F.concat(found, unknown))
 
 
+def _one_number_form(json: Column) -> Column:
+    """JSON text in which equal numbers look alike, other than whole ones from 10^18 on."""
+
+    def piece(p: Column) -> Column:
+        value = p.try_cast("double")
+        whole = (F.abs(value) < _WHOLE_BELOW) & (value == F.rint(value))
+        form = F.when(whole, value.cast("bigint").cast("string")).otherwise(value.cast("string"))
+        return F.when(p.rlike("^-?[0-9].*[.eE]"), form).otherwise(p)
+
+    pieces = F.transform(F.regexp_extract_all(json, F.lit(_PIECE), F.lit(0)), piece)
+    return F.when(json.rlike("[0-9][.eE]"), F.array_join(pieces, "")).otherwise(json)
+
+
 def validated(events: DataFrame, tools: DataFrame) -> DataFrame:
     """Add ``arguments_json`` (canonical) and ``errors`` for calls, against tools (name, parameters)."""
     schema = tools.select(F.col("name").alias("__tool"), F.col("parameters"), F.lit(True).alias("__has"))
     rows = lookup_join(events, schema, {"name": "__tool"})
     value = F.try_parse_json("arguments")
     is_object = F.coalesce(F.schema_of_variant(value).startswith("OBJECT"), F.lit(False))
-    rows = rows.withColumn("__given", F.when(is_object, F.from_json("arguments", "map<string,variant>")))
+    rows = rows.withColumn("arguments_json", F.when(is_object, _one_number_form(F.to_json(value))))
+    rows = rows.withColumn("__given", F.from_json("arguments_json", "map<string,variant>"))
     errors = (
-        F.when(F.col("kind") != "call", F.array().cast("array<string>"))
+        F.when(~F.col("kind").eqNullSafe("call"), F.array().cast("array<string>"))
         .when(F.col("__has").isNull(), F.array(F.lit("unknown tool")))
         .when(F.col("__given").isNull(), F.array(F.lit("no JSON object")))
         .otherwise(_mistakes(F.col("__given"), F.col("parameters")))
     )
-    return rows.withColumns({"errors": errors, "arguments_json": F.when(is_object, F.to_json(value))}).drop("__given", "parameters", "__has")
+    return rows.withColumn("errors", errors).drop("__given", "parameters", "__has")
 
 
 def _json(column: str) -> Column:
@@ -160,27 +183,29 @@ def tool_table(spark) -> DataFrame:
 
 
 def events_of(conversations: DataFrame) -> DataFrame:
-    """Every user turn as a call and every assistant turn as the result of the turn before.
+    """Every user turn as a call, every assistant turn as the result of the turn before, and others as messages.
+
+    A message's name is its role, which may be null.
 
     The tool and the quality of the arguments follow from the text's length: some lack a parameter,
     some have one of another type, some are cut off.
     """
     n = F.coalesce(F.char_length("text"), F.lit(0))
     before = F.concat_ws(":", "conv_id", (F.col("turn") - 1).cast("string"))
-    call = F.col("role") == "user"
+    call, result = (F.col("role").eqNullSafe(role) for role in ("user", "assistant"))
     tool = F.element_at(F.array(*[F.lit(name) for name, _ in TOOLS]), n % len(TOOLS) + 1)
     query = F.to_json(F.struct(F.when(n % 11 > 0, n).alias("limit"), F.when(n % 7 > 0, F.col("text")).alias("query"), (n % 2 == 0).alias("strict")))
     other = F.to_json(F.struct(F.when(n % 5 > 0, F.col("text")).otherwise(F.lit(None)).alias("text"), (n / 8).alias("score")))
     words = F.to_json(F.struct(F.col("text"), F.when(n % 4 > 0, F.slice(F.split("text", " "), 1, 3)).alias("words")))
     arguments = F.when(tool == "search", query).when(tool == "translate", other).otherwise(words)
     arguments = F.when(n % 13 == 0, F.concat(F.lit(" "), arguments, F.lit("}"))).otherwise(arguments)
-    return conversations.where(F.col("role").isin("user", "assistant")).select(
+    return conversations.select(
         "conv_id",
         "turn",
-        F.when(call, "call").otherwise("result").alias("kind"),
-        F.when(call, F.concat_ws(":", "conv_id", F.col("turn").cast("string"))).otherwise(before).alias("call_id"),
+        F.when(call, "call").when(result, "result").otherwise("message").alias("kind"),
+        F.when(call, F.concat_ws(":", "conv_id", F.col("turn").cast("string"))).when(result, before).alias("call_id"),
         F.when(call & (F.col("turn") > 1), F.concat_ws(":", "conv_id", (F.col("turn") - 2).cast("string"))).alias("after_id"),
-        F.when(call, tool).alias("name"),
+        F.when(call, tool).when(~result, F.col("role")).alias("name"),
         F.when(call, arguments).alias("arguments"),
         F.when(~call, F.col("text")).alias("content"),
     )
