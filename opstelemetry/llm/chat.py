@@ -71,7 +71,10 @@ def linked(events: DataFrame) -> DataFrame:
 
 
 def levels(nodes: DataFrame) -> DataFrame:
-    """(conv_id, node, level) of distinct nodes by pointer doubling; the level is null on and behind cycles."""
+    """(conv_id, node, level) of distinct nodes by pointer doubling; the level is null on and behind cycles.
+
+    A round joins only the nodes that have not reached a root yet.
+    """
     now = settle(
         nodes.where(F.col("node").isNotNull())
         .groupBy("conv_id", "node")
@@ -79,13 +82,16 @@ def levels(nodes: DataFrame) -> DataFrame:
         .withColumn("level", F.when(F.col("up").isNull(), 0).otherwise(1).cast("bigint"))
     )
     rounds = max(1, now.count()).bit_length() + 1
+    known, waiting = now.where("up is null"), now.where("up is not null")
     for _ in range(rounds):
-        if now.where("up is not null").isEmpty():
+        if waiting.isEmpty():
             break
-        above = now.select(F.col("conv_id").alias("c"), F.col("node").alias("n"), F.col("up").alias("up2"), F.col("level").alias("l2"))
-        met = now.join(above, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("up") == F.col("n")), "left")
+        reach = known.unionByName(waiting)
+        above = reach.select(F.col("conv_id").alias("c"), F.col("node").alias("n"), F.col("up").alias("up2"), F.col("level").alias("l2"))
+        met = waiting.join(above, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("up") == F.col("n")), "left")
         now = settle(met.select("conv_id", "node", F.col("up2").alias("up"), (F.col("level") + F.coalesce("l2", F.lit(0))).alias("level")))
-    return now.select("conv_id", "node", F.when(F.col("up").isNull(), F.col("level")).alias("level"))
+        known, waiting = known.unionByName(now.where("up is null")), now.where("up is not null")
+    return known.unionByName(waiting.withColumn("level", F.lit(None).cast("bigint"))).select("conv_id", "node", "level")
 
 
 def _mistakes(given: Column, parameters: Column) -> Column:
