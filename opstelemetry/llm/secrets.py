@@ -16,7 +16,7 @@ evidence the threshold is one half. Thresholds
 lie between one hundredth, below which the battery rejects a token whatever its class, and one half.
 
 Spans count code points, end exclusive. Null and empty texts have none. Rows stay one to one. All is
-column expressions: there is no shuffle but that of the counts.
+column expressions: there is no shuffle but those of the distinct tokens and their counts.
 """
 
 from __future__ import annotations
@@ -189,13 +189,21 @@ def least_bin(own: Sequence[int], rate: float) -> int | None:
     return half
 
 
-def thresholds(docs: DataFrame, rate: float = 0.05) -> dict[int, float]:
-    """Least p-value of a discovery by class, from all distinct candidates of the corpus."""
+def distinct_tokens(docs: DataFrame) -> DataFrame:
+    """Distinct candidates of the corpus, spread over all shuffle partitions.
+
+    They are few bytes but much work: adaptive execution, which looks at bytes, would test them all in one task.
+    """
     text = F.coalesce("text", F.lit(""))
     tokens = docs.where(text.rlike(CANDIDATE)).select(
         F.explode(F.array_distinct(F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0)))).alias("token")
     )
-    bins = tokens.distinct().select(
+    return tokens.distinct().repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "token")
+
+
+def thresholds(docs: DataFrame, rate: float = 0.05) -> dict[int, float]:
+    """Least p-value of a discovery by class, from all distinct candidates of the corpus."""
+    bins = distinct_tokens(docs).select(
         class_of(F.col("token")).alias("class"),
         F.least(F.floor(randomness(F.col("token")) * BINS).cast("int"), F.lit(BINS - 1)).alias("bin"),
     )

@@ -194,6 +194,14 @@ def test_words_alone_are_no_secrets(spark):
     assert set(spans_of(spark, [f"about {w} and" for w in words] * 20).values()) == {""}
 
 
+def test_distinct_tokens_are_tested_by_many_tasks(spark):
+    df = spark.range(400).selectExpr("id AS doc_id", "concat(md5(cast(id % 100 AS string)), ' words ', sha1('one')) AS text")
+    tokens = secrets.distinct_tokens(df)
+    assert tokens.rdd.getNumPartitions() == 8
+    assert tokens.count() == 101
+    assert secrets.distinct_tokens(df.limit(0)).count() == 0
+
+
 def test_copies_of_a_token_do_not_move_a_threshold(spark):
     rnd = random.Random(8)
     letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
