@@ -193,12 +193,13 @@ def distinct_tokens(docs: DataFrame) -> DataFrame:
     """Distinct candidates of the corpus, spread over all shuffle partitions.
 
     They are few bytes but much work: adaptive execution, which looks at bytes, would test them all in one task.
+    The key is a hash, since a second exchange on the tokens themselves would be optimised away.
     """
     text = F.coalesce("text", F.lit(""))
     tokens = docs.where(text.rlike(CANDIDATE)).select(
         F.explode(F.array_distinct(F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0)))).alias("token")
     )
-    return tokens.distinct().repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "token")
+    return tokens.distinct().repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), F.xxhash64("token"))
 
 
 def thresholds(docs: DataFrame, rate: float = 0.05) -> dict[int, float]:
