@@ -271,7 +271,10 @@ def _slot(vector: str) -> list[Column]:
 
 
 def single_metric_rows(spark: SparkSession, sf: str) -> DataFrame:
-    rows = X.clean_single(_weeks(spark, sf), "PctFree")
+    """The two periods, rows without a time in the second, and the whole month appended to them: every row twice."""
+    rows = _training_rows(spark, sf)
+    first = F.coalesce(F.col("POLLER_TIME") < SECOND_WEEK, F.lit(False))
+    rows = X.clean_single([rows.where(first), rows.where(~first), rows], "PctFree")
     return rows.withColumn("HAS_NEIGHBOR_INCIDENT", F.col("HAS_NEIGHBOR_INCIDENT").cast("int"))
 
 
