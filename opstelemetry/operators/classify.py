@@ -133,8 +133,10 @@ def fit_classifier(train: DataFrame, config: ClassifierConfig, sites: DataFrame
         raise ValueError("training rows must hold both classes")
     label = F.col(config.label).cast("double").alias("label")
     rows = train.select(*[F.col(n).cast("double").alias(n) for n in names], *vectors, label)
-    rows = settle(rows.withColumn("weight", F.when(F.col("label") == 1, F.lit(float(ratio))).otherwise(1.0)))
     context = train.sparkSession.sparkContext
+    rows = rows.withColumn("weight", F.when(F.col("label") == 1, F.lit(float(ratio))).otherwise(1.0))
+    # one file of equal size for each core: all levels of all trees read the partitions that these files become
+    rows = settle(rows.repartition(context.defaultParallelism))
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(scratch_root(train.sparkSession))
     fills = missing_stage(rows, names)

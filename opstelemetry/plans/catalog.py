@@ -258,9 +258,15 @@ def _weeks(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     return rows.where(F.col("POLLER_TIME") < SECOND_WEEK), rows.where(F.col("POLLER_TIME") >= SECOND_WEEK)
 
 
+@cache
+def _mapping(spark: SparkSession, sf: str) -> DataFrame:
+    """The mapping that both kinds of training rows are made of; labels read it twice."""
+    return settle(stand_in(spark, sf).mapping)
+
+
 @cache
 def _training_rows(spark: SparkSession, sf: str) -> DataFrame:
-    return settle(X.neighbour_training_set(stand_in(spark, sf).mapping, spellings=SITE_SPELLINGS))
+    return settle(X.neighbour_training_set(_mapping(spark, sf), spellings=SITE_SPELLINGS))
 
 
 def _slot(vector: str) -> list[Column]:
@@ -580,8 +586,7 @@ def _single_scored(spark: SparkSession, sf: str) -> DataFrame:
 
 @cache
 def _hourly_scored(spark: SparkSession, sf: str) -> DataFrame:
-    s = stand_in(spark, sf)
-    return settle(train_hourly(settle(s.mapping), s.incidents)[1])
+    return settle(train_hourly(_mapping(spark, sf), stand_in(spark, sf).incidents)[1])
 
 
 def gbt_confusion(spark: SparkSession, sf: str) -> DataFrame:
