@@ -102,7 +102,8 @@ def train_hourly(
     mapping: DataFrame, incidents: DataFrame, config: ClassifierConfig = HOURLY
 ) -> tuple[Classifier, DataFrame]:
     """Classifier on hourly aggregates."""
-    return train_and_test(hourly_training_set(mapping, incidents, draw_seed=config.seed), config)
+    # training and scoring read the aggregates several times
+    return train_and_test(settle(hourly_training_set(mapping, incidents, draw_seed=config.seed)), config)
 
 
 def run_thresholds(series: DataFrame, path: str) -> None:

@@ -1,5 +1,7 @@
 """Rows that the registered learning queries read."""
 
+import threading
+from functools import cache
 from types import SimpleNamespace
 
 from conftest import rows
@@ -7,7 +9,7 @@ from pyspark.sql import functions as F
 
 from opstelemetry.functions.scale import settle
 from opstelemetry.operators import classify as C
-from opstelemetry.plans import catalog
+from opstelemetry.plans import analysis, catalog
 
 TRAINING = (
     "POLLER_TIME long, MEASURED_VALUE double, NEW_BUS_ID string, SITE string, HAS_NEIGHBOR_INCIDENT boolean, "
@@ -55,3 +57,30 @@ def test_learners_share_one_mapping(spark, monkeypatch):
     monkeypatch.setattr(catalog, "train_hourly", lambda mapping, _: (None, mapping))
     assert catalog._training_rows(spark, "one mapping").count() == catalog._hourly_scored(spark, "one mapping").count() == 3
     assert len(asked) == 1
+
+
+def test_hourly_aggregates_are_settled_before_training(spark, monkeypatch):
+    monkeypatch.setattr(analysis, "hourly_training_set", lambda *_, **__: spark.range(2))
+    monkeypatch.setattr(analysis, "train_and_test", lambda df, _: df)
+    assert analysis.train_hourly(None, None)._settled
+
+
+def test_learners_train_side_by_side(spark, monkeypatch):
+    met = threading.Barrier(3, timeout=60)
+    scored = spark.createDataFrame([(0, 0), (1, 0), (1, 1)], "label int, prediction int")
+
+    def learner(result):
+        @cache
+        def train(*_):
+            met.wait()
+            return result
+
+        return train
+
+    monkeypatch.setattr(catalog, "_training_rows", lambda *_: None)
+    monkeypatch.setattr(catalog, "_full_model", learner((None, scored, C.confusion(scored))))
+    monkeypatch.setattr(catalog, "_single_scored", learner(scored))
+    monkeypatch.setattr(catalog, "_hourly_scored", learner(scored))
+    got = rows(catalog.learner_totals(spark, ""), "learner", "part", "label", "n")
+    parts = [("all metrics", "hold-out"), ("all metrics", "other week"), ("hourly", "hold-out"), ("one metric", "hold-out")]
+    assert got == [(*p, label, label + 1) for p in parts for label in (0, 1)]
