@@ -81,12 +81,11 @@ def _blocks_of(texts: pa.Array) -> Iterator[tuple[int, list[bytes]]]:
 # -- learning ------------------------------------------------------------------------------
 
 
-def _codes(texts: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """The gram of every predicted byte of all texts in a row, and each text's number of them."""
-    data, starts = _stream(texts, depth)
-    code = np.zeros(len(data) - depth, np.uint64)
-    for j in range(depth + 1):
-        code = (code << np.uint64(8)) | data[j : j + len(code)]
+def _codes(data: np.ndarray, starts: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """The gram of every predicted byte of a stream, and each text's number of them."""
+    # eight bytes are read at every place, of which the first are the gram
+    wide = np.ndarray(len(data) - depth, ">u8", np.append(data, np.zeros(7, np.uint8)), strides=(1,))
+    code = wide.astype(np.uint64) >> np.uint64(64 - 8 * (depth + 1))
     ends = np.concatenate([starts[1:] - depth, [len(data)]])
     inside = np.ones(len(code), bool)
     for e in range(depth):  # the paddings themselves are given, not predicted
@@ -101,7 +100,7 @@ def _grams(depth: int, step: int = 3 << 20):
         size = 0
         for batch in batches:
             for _, texts in _blocks_of(batch.column(0)):
-                held.append(_codes(texts, depth)[0])
+                held.append(_codes(*_stream(texts, depth), depth)[0])
                 size += len(held[-1])
                 if size >= step:
                     yield _counted(held)
@@ -258,17 +257,17 @@ def tree_table(grams: DataFrame, depth: int = DEPTH, gain: float = 2.0, prior: f
 # -- scoring -------------------------------------------------------------------------------
 
 
-def _word_names(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Names of all words of all texts in a row, and each text's number of words."""
-    data, starts = _stream(texts, 1)
+def _word_names(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Names of all words of a stream, and each text's number of words."""
     low, high, _ = B.words(data, np.array([0, len(data)]), _WORD)
     n = np.diff(np.searchsorted(low, np.concatenate([starts, [len(data)]])))
     names = B.span_hash(B.prefix_hash(data), low, high).view(np.int64)
     return np.where(names == _END_NAME, 0, names), n
 
 
-def _summed(names: np.ndarray, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct names in order and the sums of their numbers."""
+def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct names in order and the sums of their numbers; each part is in order."""
+    names, numbers = (np.concatenate(x) for x in zip(*parts, strict=True))
     order = np.argsort(names, kind="stable")
     names = names[order]
     first = np.ones(len(names), bool)
@@ -277,21 +276,43 @@ def _summed(names: np.ndarray, numbers: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 
 class _Sums:
-    """Numbers by name, summed block by block; blocks of like size are merged, so little is held twice."""
+    """Distinct names with their number of places in training texts, summed step by step.
+
+    Places are sorted as bare names, those of training texts and others apart. Sums of like size are merged, so
+    little is held twice.
+    """
+
+    STEP = 1 << 21
 
     def __init__(self):
         self.parts: list[tuple[np.ndarray, np.ndarray]] = []
-
-    def add(self, names: np.ndarray, numbers: np.ndarray) -> None:
-        self.parts.append(_summed(names, numbers))
+        self.held: dict[bool, list[np.ndarray]] = {True: [], False: []}
+        self.size = 0
+
+    def add(self, names: np.ndarray, training: bool) -> None:
+        self.held[training].append(names)
+        self.size += len(names)
+        if self.size >= self.STEP:
+            self._count()
+
+    def _count(self) -> None:
+        both = []
+        for training, held in self.held.items():
+            if held:
+                names, n = np.unique(np.concatenate(held), return_counts=True)
+                both.append((names, n * training))
+                held.clear()
+        self.size = 0
+        self.parts.append(_summed(both))
         while len(self.parts) > 1 and 2 * len(self.parts[-1][0]) > len(self.parts[-2][0]):
             self._merge()
 
     def _merge(self) -> None:
-        two, one = self.parts.pop(), self.parts.pop()
-        self.parts.append(_summed(np.concatenate([one[0], two[0]]), np.concatenate([one[1], two[1]])))
+        self.parts[-2:] = [_summed(self.parts[-2:])]
 
     def all(self) -> tuple[np.ndarray, np.ndarray]:
+        if self.size:
+            self._count()
         while len(self.parts) > 1:
             self._merge()
         return self.parts[0] if self.parts else (np.zeros(0, np.int64), np.zeros(0, np.int64))
@@ -301,17 +322,21 @@ def _chunk_parts(depth: int):
     def parts(table: pa.Table) -> pa.Table:
         """Distinct words and grams of a chunk with their number of places in training texts."""
         words, grams, ends = _Sums(), _Sums(), 0
-        training = np.invert(table.column("held_out").to_numpy())
-        for chunk in _even(table):
-            for first, texts in _blocks_of(chunk[1]):
-                use = training[chunk[0] + first : chunk[0] + first + len(texts)]
-                ends += int(use.sum())
-                for sums, (own, n) in ((words, _word_names(texts)), (grams, _codes(texts, depth))):
-                    sums.add(own, np.repeat(use, n).astype(np.int64))
-        words.add(np.array([_END_NAME]), np.array([ends]))
+        use = np.invert(table.column("held_out").to_numpy()).tolist()
+        for row, chunk in _even(table):
+            for first, texts in _blocks_of(chunk):
+                split: dict[bool, list[bytes]] = {True: [], False: []}
+                for i, text in enumerate(texts, row + first):
+                    split[use[i]].append(text)
+                ends += len(split[True])
+                for training, own in split.items():
+                    if own:
+                        data, starts = _stream(own, depth)
+                        words.add(_word_names(data, starts)[0], training)
+                        grams.add(_codes(data, starts, depth)[0], training)
+        end = (np.array([_END_NAME]), np.array([ends]))
         tables = []
-        for is_gram, sums in ((False, words), (True, grams)):
-            name, n = sums.all()
+        for is_gram, (name, n) in ((False, _summed([words.all(), end])), (True, grams.all())):
             both = [pa.array(np.full(len(name), is_gram)), pa.array(name), pa.array(np.full(len(name), table.column("chunk")[0].as_py(), np.int64)), pa.array(n)]
             tables.append(pa.Table.from_arrays(both, ["is_gram", "name", "chunk", "n"]))
         return pa.concat_tables(tables)
@@ -364,25 +389,53 @@ def _sorted(table: pa.Table, column: str) -> tuple[np.ndarray, np.ndarray]:
     return names[order], values[order]
 
 
+def _places_in(names: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """Where each of ``own`` is in the sorted ``names``; searched in order, so that neighbours are near in memory."""
+    order = np.argsort(own)
+    out = np.empty(len(own), np.int64)
+    out[order] = np.searchsorted(names, own[order])
+    return out
+
+
+def _text_sums(codes: np.ndarray, places: np.ndarray, grams: np.ndarray, logs: np.ndarray, depth: int) -> np.ndarray:
+    """The sum of the logarithms of each text's grams.
+
+    A sum needs no order of places: grams are sorted with their text's number in the bits they leave free, for as many
+    texts at a time as these bits can tell apart, and each gram of a text is looked up once.
+    """
+    free = np.uint64(64 - 8 * (depth + 1))
+    most = 1 << int(free)
+    ends = np.concatenate([[0], np.cumsum(places)])
+    out = [np.zeros(0)]
+    for first in range(0, len(places), most):
+        n = places[first : first + most]
+        text = np.repeat(np.arange(len(n), dtype=np.uint64), n)
+        own = codes[ends[first] : ends[first + len(n)]].view(np.uint64)
+        pairs, times = np.unique(own << free | text, return_counts=True)
+        log = logs[np.searchsorted(grams, (pairs >> free).view(np.int64))]
+        out.append(np.bincount((pairs & np.uint64(most - 1)).view(np.int64), times * log, len(n)))
+    return np.concatenate(out)
+
+
 def _scorer(depth: int):
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
         names, seen = _sorted(right.filter(pc.is_valid(right.column("n"))), "n")
         grams, logs = _sorted(right.filter(pc.is_valid(right.column("log"))), "log")
         end = seen[np.searchsorted(names, _END_NAME)]
+        known, weight = seen > 0, np.log10(seen + 1.0)
         out = [[], [], [], []]
         for _, chunk in _even(left):
             for _, texts in _blocks_of(chunk):
-                own, n = _word_names(texts)
-                count = seen[np.searchsorted(names, own)]
+                data, starts = _stream(texts, depth)
+                own, n = _word_names(data, starts)
+                at = _places_in(names, own)
                 text = np.repeat(np.arange(len(texts)), n)
-                codes, places = _codes(texts, depth)
-                place = np.repeat(np.arange(len(texts)), places)
                 out[0].append(n + 1)
-                out[1].append(np.bincount(text, count > 0, len(texts)).astype(np.int64) + int(end > 0))
-                out[2].append(np.bincount(text, np.log10(count + 1.0), len(texts)) + np.log10(end + 1.0))
-                out[3].append(np.bincount(place, logs[np.searchsorted(grams, codes)], len(texts)))
-        n, known, base, tree_score = (np.concatenate(x) for x in out)
-        return pa.table({"key": left.column("key"), "held_out": left.column("held_out"), "n_tokens": n, "n_known": known, "logs": base, "score": tree_score})
+                out[1].append(np.bincount(text, known[at], len(texts)).astype(np.int64) + int(end > 0))
+                out[2].append(np.bincount(text, weight[at], len(texts)) + np.log10(end + 1.0))
+                out[3].append(_text_sums(*_codes(data, starts, depth), grams, logs, depth))
+        n, n_known, base, tree_score = (np.concatenate(x) for x in out)
+        return pa.table({"key": left.column("key"), "held_out": left.column("held_out"), "n_tokens": n, "n_known": n_known, "logs": base, "score": tree_score})
 
     return score
 

@@ -7,7 +7,10 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 import xxhash
 from conftest import executed_plan
@@ -309,6 +312,63 @@ def test_no_context_of_the_suffix_tree_is_dropped(spark):
     assert {r["doc_id"]: round(r["score"], 4) for r in found} == {k: round(x, 4) for k, x in want.items()}
 
 
+def chunk(texts, held):
+    n = len(texts)
+    return pa.table({"key": list(range(n)), "text": pa.array(texts, pa.string()), "held_out": held, "chunk": [3] * n})
+
+
+@pytest.mark.parametrize("depth", [2, 5, 6, 7])
+def test_each_gram_of_a_text_is_looked_up_once(monkeypatch, depth):
+    texts = ["the thin then thing " * 500, "", None, "Été\tthe  THIN\n"] + [f"w{i % 7} x" for i in range(400)]
+    streams = [b"\n" * depth + b"".join(w + b" " for w in WORD.findall(low(t))) + b"\n" for t in texts]
+    own = [[s[i - depth : i + 1] for i in range(depth, len(s))] for s in streams]
+    value = {g: -1 - i % 13 / 8 for i, g in enumerate(sorted({g for x in own for g in x}))}
+    names = {int.from_bytes(g, signed=depth == 7): v for g, v in value.items()}
+    words = suffix_tree._chunk_parts(depth)(chunk(texts, [False] * len(texts)))
+    words = words.filter(pc.invert(words.column("is_gram")))
+    lists = {"names": pa.list_(pa.int64()), "n": pa.list_(pa.int64()), "log": pa.list_(pa.float64())}
+    rows = [{"names": words.column("name").to_pylist(), "n": words.column("n").to_pylist()}, {"names": list(names), "log": list(names.values())}]
+    searched, search = [], np.searchsorted
+
+    def counted(a, v, *args, **kwargs):
+        if len(a) == len(names):
+            searched.append(np.size(v))
+        return search(a, v, *args, **kwargs)
+
+    assert words.num_rows != len(names)
+    monkeypatch.setattr(np, "searchsorted", counted)
+    found = suffix_tree._scorer(depth)(chunk(texts, [False] * len(texts)), pa.Table.from_pylist(rows, pa.schema(lists)))
+    assert sum(searched) == sum(len(set(x)) for x in own) < sum(map(len, own)) / 2
+    assert [round(x, 6) for x in found.column("score").to_pylist()] == [round(sum(value[g] for g in x), 6) for x in own]
+
+
+def test_parts_of_a_chunk_are_summed_step_by_step(monkeypatch):
+    rnd = random.Random(4)
+    texts = [" ".join(rnd.choice(["the", "of", "tion", "Été", "x" * 9]) for _ in range(rnd.randint(0, 30))) for _ in range(200)]
+    held = [rnd.random() < 0.3 for _ in texts]
+    sorts, unique = [], np.unique
+
+    def counted(names, **kwargs):
+        sorts.append(len(names))
+        return unique(names, **kwargs)
+
+    whole = suffix_tree._chunk_parts(5)(chunk(texts, held))
+    monkeypatch.setattr(suffix_tree._Sums, "STEP", 500)
+    monkeypatch.setattr(suffix_tree.B.blocks, "__defaults__", (700,))
+    monkeypatch.setattr(np, "unique", counted)
+    parts = suffix_tree._chunk_parts(5)(chunk(texts, held))
+    assert len(sorts) > 10 and parts.sort_by("name").equals(whole.sort_by("name"))
+    count = Counter()
+    for h, t in zip(held, texts, strict=True):
+        s = b"\n" * 5 + b"".join(w + b" " for w in low(t).split()) + b"\n"
+        for i in range(5, len(s)):
+            count[int.from_bytes(s[i - 5 : i + 1])] += not h
+    grams = parts.filter(parts.column("is_gram"))
+    assert dict(zip(grams.column("name").to_pylist(), grams.column("n").to_pylist(), strict=True)) == dict(count)
+    end = parts.filter(pc.and_(pc.equal(parts.column("name"), -1), pc.invert(parts.column("is_gram"))))
+    assert end.column("n").to_pylist() == [held.count(False)] and set(parts.column("chunk").to_pylist()) == {3}
+
+
 def test_tree_is_a_distribution_and_cuts_change_nothing(spark):
     rows = [(i, "the thin then thing in on the other " * (1 + i % 4)) for i in range(40)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
